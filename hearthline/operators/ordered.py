@@ -89,21 +89,21 @@ def ordered(
     *,
     number: str | None = None,
     sums: Mapping[str, str] | None = None,
+    mins: Mapping[str, str] | None = None,
     lags: Mapping[str, str] | None = None,
     leads: Mapping[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
     parts: int = PARTS,
 ) -> DataFrame:
     """``df`` plus, per group in ``order``: the row ``number`` from 1, running
-    ``sums`` (name -> column, the row included), and the column's value one row
-    before (``lags``) or after (``leads``)."""
-    sums, lags, leads = dict(sums or {}), dict(lags or {}), dict(leads or {})
+    ``sums`` and ``mins`` (name -> column, the row included), and the column's
+    value one row before (``lags``) or after (``leads``)."""
+    sums, mins, lags, leads = dict(sums or {}), dict(mins or {}), dict(lags or {}), dict(leads or {})
     kept = list(df.columns)
     groups = list(groups)
     if not groups:
         df = df.withColumn("_all", F.lit(0))
         groups = ["_all"]
-    df = df.withColumns({f"_s_{n}": F.col(c) for n, c in sums.items()})
 
     hot = hot_groups(df, groups, hot_rows, parts)
     placed = _beside(df, _splitters(df, groups, order, hot), groups, "left").withColumn("_block", _block(order))
@@ -111,7 +111,8 @@ def ordered(
     w = W.partitionBy(*groups, "_block").orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = {"_row": F.row_number().over(w).cast("long")}
-    local |= {f"_r_{n}": F.sum(f"_s_{n}").over(upto) for n in sums}
+    local |= {f"_r_{n}": F.sum(c).over(upto) for n, c in sums.items()}
+    local |= {f"_m_{n}": F.min(c).over(upto) for n, c in mins.items()}
     local |= {f"_b_{n}": F.lag(c).over(w) for n, c in lags.items()}
     local |= {f"_a_{n}": F.lead(c).over(w) for n, c in leads.items()}
     if leads:
@@ -125,7 +126,8 @@ def ordered(
         .groupBy(*groups, "_block")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in sums],
+            *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
+            *[F.min(c).alias(f"_t_{n}") for n, c in mins.items()],
             *[F.max_by(F.struct(F.col(c).alias("v")), edge_order).alias(f"_l_{n}") for n, c in lags.items()],
             *[F.min_by(F.struct(F.col(c).alias("v")), edge_order).alias(f"_f_{n}") for n, c in leads.items()],
         )
@@ -137,6 +139,7 @@ def ordered(
         "_block",
         F.sum("_rows").over(before).alias("_rows_before"),
         *[F.sum(f"_t_{n}").over(before).alias(f"_t_{n}") for n in sums],
+        *[F.min(f"_t_{n}").over(before).alias(f"_t_{n}") for n in mins],
         *[F.lag(f"_l_{n}").over(wb).alias(f"_l_{n}") for n in lags],
         *[F.lead(f"_f_{n}").over(wb).alias(f"_f_{n}") for n in leads],
     )
@@ -150,6 +153,8 @@ def ordered(
             F.col(f"_r_{n}").isNotNull() | F.col(f"_t_{n}").isNotNull(),
             F.coalesce(f"_r_{n}", F.lit(0)) + F.coalesce(f"_t_{n}", F.lit(0)),
         )
+    for n in mins:
+        out[n] = F.least(f"_m_{n}", f"_t_{n}")
     for n in lags:
         out[n] = F.when(F.col("_row") == 1, F.col(f"_l_{n}")["v"]).otherwise(F.col(f"_b_{n}"))
     for n in leads:

@@ -39,7 +39,11 @@ def page_stream(
 
 
 def _named(text: DataFrame) -> DataFrame:
-    return text.select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("page_path"))
+    return text.select(
+        F.col("value").alias("body"),
+        F.col("_metadata.file_path").alias("page_path"),
+        F.col("_metadata.file_modification_time").alias("page_time"),
+    )
 
 
 def _meta(field: str, kind: str) -> Column:
