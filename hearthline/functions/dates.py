@@ -53,9 +53,10 @@ def iso_timestamp(text: Column) -> Column:
 
 def _utc(parts: Column) -> Column:
     def number(part: str) -> Column:
-        return F.coalesce(parts[_PARTS.index(part)].try_cast("int"), F.lit(0))
+        # The leading zero turns a part that is not there into 0.
+        return F.concat(F.lit("0"), parts[_PARTS.index(part)]).cast("int")
 
-    micros = F.rpad(parts[_PARTS.index("fraction")], 6, "0").try_cast("int")
+    micros = F.rpad(parts[_PARTS.index("fraction")], 6, "0").cast("int")
     local = F.try_make_timestamp_ntz(
         number("year"),
         number("month"),

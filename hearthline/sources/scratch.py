@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from the checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder all executors share, under the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
