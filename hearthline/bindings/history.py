@@ -38,7 +38,7 @@ def n5(view: Views) -> DataFrame:
     walked = history.version_history(view("v_held"), "id", ORDER)
     return walked.select(
         "id", *ORDER, "version_no", "old_price", F.col("price").alias("new_price"),
-        F.round("change_percent", 4).alias("change_percent"), "valid_from", "valid_to",
+        "change_percent", "valid_from", "valid_to",
     )
 
 
@@ -97,7 +97,7 @@ BINDINGS = {
         bound(n5),
         sql(
             f"""SELECT id, {BY}, version_no, old_price, price AS new_price,
-                       round((price - old_price) / CAST(old_price AS DOUBLE) * 100, 4) AS change_percent,
+                       (price - old_price) / CAST(old_price AS DOUBLE) * 100 AS change_percent,
                        scraped_at AS valid_from, valid_to
                 FROM (SELECT *, row_number() OVER w AS version_no, lag(price) OVER w AS old_price,
                              lead(scraped_at) OVER w AS valid_to

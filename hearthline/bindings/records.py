@@ -134,15 +134,11 @@ def _checked(view: Views, enabled: bool = True) -> DataFrame:
 
 
 def a5(view: Views) -> DataFrame:
-    return _rounded(rules.validation_summary(_checked(view), ["page"]))
-
-
-def _rounded(summary: DataFrame) -> DataFrame:
-    return summary.withColumn("success_rate", F.round("success_rate", 4))
+    return rules.validation_summary(_checked(view), ["page"])
 
 
 SUMMARY_SQL = """SELECT {by} count(*) FILTER ({valid}) AS valid_count, count(*) FILTER ({invalid}) AS invalid_count,
-    count(*) AS total_count, round(count(*) FILTER ({valid}) / CAST(count(*) AS DOUBLE), 4) AS success_rate FROM {frame}"""
+    count(*) AS total_count, count(*) FILTER ({valid}) / CAST(count(*) AS DOUBLE) AS success_rate FROM {frame}"""
 
 
 def a6(view: Views) -> DataFrame:
@@ -168,7 +164,7 @@ BUDGETED = {
 
 def n2_summary(view: Views) -> DataFrame:
     spent = rules.error_budget(_checked(view), "page", LISTING_KEY, BUDGET)
-    return _rounded(rules.validation_summary(spent, ["page"]))
+    return rules.validation_summary(spent, ["page"])
 
 
 def _breaches(frame: str, key: tuple[str, ...], breaches: Callable) -> Callable[[Views], DataFrame]:
@@ -216,7 +212,7 @@ def x1(view: Views) -> DataFrame:
 
 
 def x3(view: Views) -> DataFrame:
-    return _rounded(rules.validation_summary(_checked(view, enabled=False), ["page"]))
+    return rules.validation_summary(_checked(view, enabled=False), ["page"])
 
 
 def _x2(view: Views) -> DataFrame:
@@ -226,7 +222,7 @@ def _x2(view: Views) -> DataFrame:
     parts = []
     for feed, items in ((ACTIVE, shapes.listing_items(view)), (SOLD, shapes.sale_items(view))):
         checked = rules.validate(items, feed.rules_at("2024-06-30"))
-        parts.append(_rounded(rules.validation_summary(checked)).withColumn("feed", F.lit(feed.name)))
+        parts.append(rules.validation_summary(checked).withColumn("feed", F.lit(feed.name)))
     return parts[0].unionByName(parts[1])
 
 

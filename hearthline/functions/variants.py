@@ -9,25 +9,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_KINDS = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-
-
 def facts(item: Column, field: str) -> Column:
-    """struct(value, kind, number) of a field; all NULL if the key is absent."""
+    """struct(value, kind, numeric, number) of a field; absent keys give NULL and
+    false. The number is read only where there is one: a cast that fails is slow.
+    """
     value = F.variant_get(item, f"$.{field}", "variant")
+    kind = F.schema_of_variant(value)
+    numeric = F.coalesce(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.lit(False))
     return F.struct(
         value.alias("value"),
-        F.schema_of_variant(value).alias("kind"),
-        F.try_variant_get(item, f"$.{field}", "double").alias("number"),
+        kind.alias("kind"),
+        numeric.alias("numeric"),
+        F.when(numeric, F.try_variant_get(item, f"$.{field}", "double")).alias("number"),
     )
 
 
 class Fact:
-    """Predicates over a column made by :func:`facts`."""
+    """Predicates over a column made by :func:`facts`.
+
+    ``numeric`` is true for a JSON number; texts and booleans are none.
+    """
 
     def __init__(self, column: Column):
         self.value = column["value"]
         self.kind = column["kind"]
+        self.numeric = column["numeric"]
         self.number = column["number"]
 
     @property
@@ -48,11 +54,6 @@ class Fact:
         """Present and not JSON null."""
         return self.present & ~self.null
 
-    @property
-    def numeric(self) -> Column:
-        """A JSON number; texts and booleans are not."""
-        return F.coalesce(self.kind.rlike(NUMBER_KINDS), F.lit(False))
-
     @property
     def integral(self) -> Column:
         """A JSON number written as an integer (2100 but not 2100.0)."""

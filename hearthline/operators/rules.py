@@ -102,15 +102,18 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
         return items.withColumns({"errors": F.array().cast(ERRORS), "is_valid": F.lit(True)})
     fields = list(dict.fromkeys(rule.field for rule in rules))
     found = items.withColumn("_facts", F.struct(*[facts(F.col("item"), f).alias(f) for f in fields]))
-    reports = []
+    reports, broken = [], F.lit(False)
     for rule in rules:
         fact = Fact(F.col("_facts")[rule.field])
         report = F.struct(
             F.lit(rule.field).alias("field"), fact.text.alias("value"), F.lit(rule.message).alias("message")
         )
-        reports.append(F.when(rule.bad(fact), report))
+        bad = F.coalesce(rule.bad(fact), F.lit(False))
+        reports.append(F.when(bad, report))
+        broken = broken | bad
     errors = F.filter(F.array(*reports), lambda e: e.isNotNull()).cast(ERRORS)
-    return found.withColumn("errors", errors).drop("_facts").withColumn("is_valid", F.size("errors") == 0)
+    # is_valid does not read errors, so that a job that wants no report makes none.
+    return found.withColumns({"errors": errors, "is_valid": ~broken}).drop("_facts")
 
 
 def error_budget(
