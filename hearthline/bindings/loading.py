@@ -251,7 +251,7 @@ def f1(view: Views) -> DataFrame:
         F.struct(F.lit("month").alias("form"), F.date_format("o_orderdate", "yyyy-MM").alias("text")),
     )
     rows = view("orders").select("o_orderkey", F.explode(spelt).alias("s"))
-    return rows.select("o_orderkey", "s.form", iso_timestamp(F.col("s.text")).alias("moment"))
+    return rows.select("o_orderkey", "s.form", F.expr(f"{iso_timestamp('s.text')} AS moment"))
 
 
 F1_SQL = """

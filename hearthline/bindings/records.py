@@ -203,7 +203,7 @@ def k3(view: Views) -> DataFrame:
 # Rules of one's own: a listing must tell its lot, and no home has 5 rooms.
 OWN_RULES = [
     rules.required("lotSize"),
-    rules.Rule("rooms", "five rooms", lambda f: f.numeric & (f.number == 5)),
+    rules.Rule("rooms", "five rooms", "{numeric} AND {number} = 5"),
 ]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -212,13 +213,12 @@ Views = Callable[[str], DataFrame]
 def opened(spark: SparkSession, folder: str) -> Views:
     """A function from table or view name to its frame."""
 
+    @cache
     def view(name: str) -> DataFrame:
         if name in TABLES:
             return spark.read.parquet(f"{folder}/{name}.parquet")
-        for table in TABLES:
-            if table in VIEWS[name][1].replace("(", " ").split():
-                view(table).createOrReplaceTempView(table)
-        for needed in VIEWS[name][0]:
+        words = VIEWS[name][1].split()
+        for needed in (*[t for t in TABLES if t in words], *VIEWS[name][0]):
             view(needed).createOrReplaceTempView(needed)
         return spark.sql(VIEWS[name][1])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -16,9 +15,12 @@ ISO_PATTERN = (
     r"(?:.(?<hour>\d{2})(?:(?<colon>:?)(?<minute>\d{2})(?:\k<colon>(?<second>\d{2})(?:[.,](?<fraction>\d+))?)?)?"
     r"(?:(?<sign>[+-])(?<hours>\d{2})(?:(?<mark>:?)(?<minutes>\d{2})(?:\k<mark>(?<seconds>\d{2})(?:[.,]\d+)?)?)?)?)?$"
 )
-_PARTS = (
-    "year", "month", "day", "hour", "minute", "second", "fraction", "sign", "hours", "minutes", "seconds",
-)
+# The parts by the number of their group.
+_GROUPS = {
+    "year": 1, "month": 3, "day": 4, "hour": 5, "minute": 7, "second": 8, "fraction": 9,
+    "sign": 10, "hours": 11, "minutes": 13, "seconds": 14,
+}
+_PARTS = tuple(_GROUPS)
 
 
 def ntz(moment: datetime | str | Column) -> Column:
@@ -39,43 +41,33 @@ def day(moment: datetime | date | str | Column) -> Column:
     return ntz(moment).cast("date")
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), use)[0]
+def iso_timestamp(text: str) -> str:
+    """SQL for an ISO date or date-time text in UTC without zone; NULL if it is not
+    one. ``text`` is SQL too; the parts are taken apart once and bound to ``p``.
+    """
+    zulu = f"replace({text}, 'Z', '+00:00')"
+    listed = ",".join(f"${group}" for group in _GROUPS.values())
 
-
-def iso_timestamp(text: Column) -> Column:
-    """ISO date or date-time text in UTC without zone; NULL if it is not one."""
-    zulu = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    listed = F.regexp_replace(zulu, ISO_PATTERN, ",".join(f"${{{part}}}" for part in _PARTS))
-    return _once(F.when(zulu.rlike(ISO_PATTERN), F.split(listed, ",")), _utc)
-
-
-def _utc(parts: Column) -> Column:
-    def number(part: str) -> Column:
+    def number(part: str) -> str:
         # The leading zero turns a part that is not there into 0.
-        return F.concat(F.lit("0"), parts[_PARTS.index(part)]).cast("int")
-
-    micros = F.rpad(parts[_PARTS.index("fraction")], 6, "0").cast("int")
-    local = F.try_make_timestamp_ntz(
-        number("year"),
-        number("month"),
-        number("day"),
-        number("hour"),
-        number("minute"),
-        (number("second") + micros / F.lit(1000000)).cast("decimal(16,6)"),
+        return f"CAST('0' || p[{_PARTS.index(part)}] AS INT)"
+
+    micros = f"CAST(rpad(p[{_PARTS.index('fraction')}], 6, '0') AS INT)"
+    local = (
+        f"try_make_timestamp_ntz({number('year')}, {number('month')}, {number('day')}, {number('hour')}, "
+        f"{number('minute')}, CAST({number('second')} + {micros} / 1e6D AS DECIMAL(16, 6)))"
     )
-    shift = number("hours") * 3600 + number("minutes") * 60 + number("seconds")
-    to_utc = F.when(parts[_PARTS.index("sign")] == "-", shift).otherwise(-shift)
+    shift = f"({number('hours')} * 3600 + {number('minutes')} * 60 + {number('seconds')})"
     in_range = (
-        (number("year") >= 1)
-        & (number("hour") <= 23)
-        & (number("second") <= 59)
-        & (number("hours") <= 23)
-        & (number("minutes") <= 59)
-        & (number("seconds") <= 59)
+        f"{number('year')} >= 1 AND {number('hour')} <= 23 AND {number('second')} <= 59 AND "
+        f"{number('hours')} <= 23 AND {number('minutes')} <= 59 AND {number('seconds')} <= 59"
+    )
+    utc = (
+        f"CASE WHEN p IS NULL THEN NULL WHEN {in_range} THEN timestampadd(SECOND, "
+        f"if(p[{_PARTS.index('sign')}] = '-', {shift}, -{shift}), {local}) END"
     )
-    return F.when(in_range, F.timestamp_add("SECOND", to_utc, local))
+    parts = f"CASE WHEN {zulu} RLIKE r'{ISO_PATTERN}' THEN split(regexp_replace({zulu}, r'{ISO_PATTERN}', '{listed}'), ',') END"
+    return f"transform(array({parts}), p -> {utc})[0]"
 
 
 def days_back(as_of: datetime | str | Column, days: int) -> tuple[Column, Column]:

@@ -1,4 +1,4 @@
-"""Facts about one field of a raw VARIANT record.
+"""Facts about one field of a raw VARIANT record, as SQL text.
 
 Rules must tell an absent key from a null, and a number from a text that looks
 like one, so each field is taken out once with its kind and numeric value.
@@ -6,71 +6,39 @@ like one, so each field is taken out once with its kind and numeric value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-def facts(item: Column, field: str) -> Column:
+# SQL over a column {f} made by facts(); the names a rule may use.
+#   present    the key is there           given     present and not null
+#   numeric    a JSON number              integral  one written as an integer
+#   number     its value                  text      the value as text
+#   truthy     given and not one of '', 0, false, [] and {}
+TERMS = {
+    "present": "{f}.value IS NOT NULL",
+    "given": "({f}.value IS NOT NULL AND {f}.kind <> 'VOID')",
+    "numeric": "{f}.numeric",
+    "integral": "({f}.numeric AND {f}.kind = 'BIGINT')",
+    "number": "{f}.number",
+    "text": "try_cast({f}.value AS STRING)",
+    "is_text": "coalesce({f}.kind = 'STRING', false)",
+    "truthy": (
+        "({f}.value IS NOT NULL AND {f}.kind NOT IN ('VOID', 'OBJECT<>') AND coalesce({f}.number <> 0, true)"
+        " AND NOT ({f}.kind = 'STRING' AND try_cast({f}.value AS STRING) = '')"
+        " AND NOT ({f}.kind = 'BOOLEAN' AND try_cast({f}.value AS STRING) = 'false')"
+        " AND NOT ({f}.kind = 'ARRAY<VOID>' AND try_cast({f}.value AS STRING) = '[]'))"
+    ),
+}
+
+
+def facts(field: str, item: str = "item") -> str:
     """struct(value, kind, numeric, number) of a field; absent keys give NULL and
     false. The number is read only where there is one: a cast that fails is slow.
     """
-    value = F.variant_get(item, f"$.{field}", "variant")
-    kind = F.schema_of_variant(value)
-    numeric = F.coalesce(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.lit(False))
-    return F.struct(
-        value.alias("value"),
-        kind.alias("kind"),
-        numeric.alias("numeric"),
-        F.when(numeric, F.try_variant_get(item, f"$.{field}", "double")).alias("number"),
-    )
-
-
-class Fact:
-    """Predicates over a column made by :func:`facts`.
-
-    ``numeric`` is true for a JSON number; texts and booleans are none.
-    """
-
-    def __init__(self, column: Column):
-        self.value = column["value"]
-        self.kind = column["kind"]
-        self.numeric = column["numeric"]
-        self.number = column["number"]
-
-    @property
-    def text(self) -> Column:
-        return self.value.try_cast("string")
-
-    @property
-    def present(self) -> Column:
-        return self.value.isNotNull()
-
-    @property
-    def null(self) -> Column:
-        """Present and JSON null."""
-        return F.coalesce(self.kind == "VOID", F.lit(False))
-
-    @property
-    def given(self) -> Column:
-        """Present and not JSON null."""
-        return self.present & ~self.null
-
-    @property
-    def integral(self) -> Column:
-        """A JSON number written as an integer (2100 but not 2100.0)."""
-        return F.coalesce(self.kind == "BIGINT", F.lit(False))
+    value = f"variant_get({item}, '$.{field}', 'variant')"
+    kind = f"schema_of_variant({value})"
+    numeric = f"coalesce({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%', false)"
+    number = f"CASE WHEN {numeric} THEN try_variant_get({item}, '$.{field}', 'double') END"
+    return f"named_struct('value', {value}, 'kind', {kind}, 'numeric', {numeric}, 'number', {number})"
 
-    @property
-    def is_text(self) -> Column:
-        return F.coalesce(self.kind == "STRING", F.lit(False))
 
-    @property
-    def truthy(self) -> Column:
-        """Given and not empty: '', 0, false, [] and {} are empty."""
-        empty = (
-            (self.is_text & (self.text == ""))
-            | (self.numeric & (self.number == 0))
-            | ((self.kind == "BOOLEAN") & (self.text == "false"))
-            | ((self.kind == "ARRAY<VOID>") & (self.text == "[]"))
-            | (self.kind == "OBJECT<>")
-        )
-        return self.given & ~F.coalesce(empty, F.lit(False))
+def terms(column: str) -> dict[str, str]:
+    """The rule terms spelt out for one facts column."""
+    return {name: text.format(f=column) for name, text in TERMS.items()}

@@ -80,19 +80,18 @@ def bulk_append(table: DataFrame, rows: DataFrame, feed: Feed) -> Written:
     """
     failed = _failed_batches(table, rows, feed)
     entered = rows.join(failed, "batch", "left_anti")
-    outcome = (
-        rows.groupBy("batch")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(failed.withColumn("_failed", F.lit(True)), "batch", "left")
-    )
-    lost = F.coalesce(F.col("_failed"), F.lit(False))
-    stats = outcome.agg(
-        F.coalesce(F.sum(F.when(~lost, F.col("_n"))), F.lit(0)).alias("inserted"),
-        F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
-    )
+
+    def count() -> DataFrame:
+        sizes = rows.groupBy("batch").agg(F.expr("count(1) AS n"))
+        outcome = sizes.join(failed.selectExpr("batch", "true AS lost"), "batch", "left")
+        return outcome.selectExpr(
+            "coalesce(sum(n) FILTER (WHERE lost IS NULL), 0L) AS inserted",
+            "coalesce(sum(n) FILTER (WHERE lost), 0L) AS failed",
+            "coalesce(sum(n), 0L) AS total",
+        )
+
     columns = feed.columns
-    return Written(table.select(*columns).unionByName(entered.select(*columns)), stats)
+    return Written(table.select(*columns).unionByName(entered.select(*columns)), count)
 
 
 def insert_one(table: DataFrame, row: DataFrame, feed: Feed) -> Written:

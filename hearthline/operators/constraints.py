@@ -25,53 +25,46 @@ NOT_NULL_SOLD = (
 )
 
 _SHARED = {
-    "price > 0": lambda: F.col("price") > 0,
-    "rooms >= 0": lambda: F.col("rooms") >= 0,
-    "size > 0": lambda: F.col("size") > 0,
-    "zip_code 1000..9999": lambda: F.col("zip_code").between(1000, 9999),
-    "build_year 1800..2030": lambda: F.col("build_year").between(1800, 2030),
-    "latitude -90..90": lambda: F.col("latitude").between(-90, 90),
-    "longitude -180..180": lambda: F.col("longitude").between(-180, 180),
+    "price > 0": "price > 0",
+    "rooms >= 0": "rooms >= 0",
+    "size > 0": "size > 0",
+    "zip_code 1000..9999": "zip_code BETWEEN 1000 AND 9999",
+    "build_year 1800..2030": "build_year BETWEEN 1800 AND 2030",
+    "latitude -90..90": "latitude BETWEEN -90 AND 90",
+    "longitude -180..180": "longitude BETWEEN -180 AND 180",
 }
+CHECKS_ACTIVE = {**_SHARED, "days_for_sale >= 0": "days_for_sale >= 0"}
+CHECKS_SOLD = {**_SHARED, "sqm_price >= 0": "sqm_price >= 0"}
 
 
-def _breaches(not_null: Sequence[str], checks: dict[str, Column]) -> Column:
-    broken = [F.when(F.col(c).isNull(), F.lit(f"{c} not null")) for c in not_null]
-    broken += [F.when(~holds, F.lit(name)) for name, holds in checks.items()]
-    return F.filter(F.array(*broken), lambda b: b.isNotNull())
+def _breaches(not_null: Sequence[str], checks: dict[str, str]) -> Column:
+    broken = [f"CASE WHEN {c} IS NULL THEN '{c} not null' END" for c in not_null]
+    broken += [f"CASE WHEN NOT ({holds}) THEN '{name}' END" for name, holds in checks.items()]
+    return F.expr(f"filter(array({', '.join(broken)}), b -> b IS NOT NULL)")
 
 
 def breaches_active() -> Column:
     """Names of the constraints an active row breaks."""
-    checks = {name: check() for name, check in _SHARED.items()}
-    checks["days_for_sale >= 0"] = F.col("days_for_sale") >= 0
-    return _breaches(NOT_NULL_ACTIVE, checks)
+    return _breaches(NOT_NULL_ACTIVE, CHECKS_ACTIVE)
 
 
 def breaches_sold() -> Column:
     """Names of the constraints a sold row breaks."""
-    checks = {name: check() for name, check in _SHARED.items()}
-    checks["sqm_price >= 0"] = F.col("sqm_price") >= 0
-    return _breaches(NOT_NULL_SOLD, checks)
+    return _breaches(NOT_NULL_SOLD, CHECKS_SOLD)
 
 
-def _storable(not_null: Sequence[str], extra: Column) -> Column:
-    passes = extra
-    for check in _SHARED.values():
-        passes = passes & F.coalesce(check(), F.lit(True))
-    for column in not_null:
-        passes = passes & F.col(column).isNotNull()
-    return passes
+def _storable(not_null: Sequence[str], checks: dict[str, str]) -> Column:
+    passes = [f"{c} IS NOT NULL" for c in not_null] + [f"coalesce({holds}, true)" for holds in checks.values()]
+    return F.expr(" AND ".join(passes))
 
 
 def storable_active() -> Column:
-    """True where :func:`breaches_active` is empty; plain comparisons, so it can
-    be pushed into a scan."""
-    return _storable(NOT_NULL_ACTIVE, F.coalesce(F.col("days_for_sale") >= 0, F.lit(True)))
+    """True where :func:`breaches_active` is empty, as one condition."""
+    return _storable(NOT_NULL_ACTIVE, CHECKS_ACTIVE)
 
 
 def storable_sold() -> Column:
-    return _storable(NOT_NULL_SOLD, F.coalesce(F.col("sqm_price") >= 0, F.lit(True)))
+    return _storable(NOT_NULL_SOLD, CHECKS_SOLD)
 
 
 def key_breaches(table: DataFrame, key: str) -> DataFrame:

@@ -53,13 +53,13 @@ REQUIRED_ACTIVE = ("id", "price", "size", "city", "zip_code", "street")
 REQUIRED_SOLD = ("estate_id", "address", "zip_code", "price", "sold_date", "city")
 
 
-def _read(key: str, kind: str) -> Column:
-    path = f"$.{key}"
+def _read(key: str, kind: str) -> str:
+    text = f"try_variant_get(item, '$.{key}', 'string')"
     if kind == "iso timestamp":
-        return iso_timestamp(F.try_variant_get("item", path, "string"))
+        return iso_timestamp(text)
     if kind == "iso date":
-        return iso_timestamp(F.try_variant_get("item", path, "string")).cast("date")
-    return F.try_variant_get("item", path, kind)
+        return f"CAST({iso_timestamp(text)} AS DATE)"
+    return f"try_variant_get(item, '$.{key}', '{kind}')"
 
 
 def cleaned(items: DataFrame, fields: Sequence[tuple[str, str, str]], *keep: str) -> DataFrame:
@@ -67,19 +67,22 @@ def cleaned(items: DataFrame, fields: Sequence[tuple[str, str, str]], *keep: str
 
     Fields no rule looks at pass through as they are.
     """
-    return items.select(*keep, *[_read(key, kind).alias(key) for key, _, kind in fields])
+    return items.select(*keep, *[F.expr(f"{_read(key, kind)} AS {key}") for key, _, kind in fields])
 
 
 def _mapped(
-    items: DataFrame, fields: Sequence[tuple[str, str, str]], as_of: datetime | str | Column, keep: Sequence[str]
+    items: DataFrame,
+    fields: Sequence[tuple[str, str, str]],
+    as_of: datetime | str | Column,
+    keep: Sequence[str | Column],
 ) -> DataFrame:
     now = ntz(as_of)
     return items.select(
         *keep,
-        *[_read(key, kind).alias(column) for key, column, kind in fields],
+        *[F.expr(f"{_read(key, kind)} AS {column}") for key, column, kind in fields],
         now.alias("scraped_at"),
         now.alias("updated_at"),
-        F.lit(1).alias("version"),
+        F.expr("1 AS version"),
     )
 
 
@@ -120,7 +123,7 @@ def from_snake(
 def quick_map(items: DataFrame, as_of: datetime | str | Column, *keep: str) -> DataFrame:
     """The short mapping of a home for sale: eleven fields, city and street
     'Unknown' and zip code 0 where the key is absent (a null stays null)."""
-    defaults = {"city": F.lit("Unknown"), "zipCode": F.lit(0), "street": F.lit("Unknown")}
+    defaults = {"city": "'Unknown'", "zipCode": "0", "street": "'Unknown'"}
     wanted = ("id", "price", "rooms", "size", "city", "zipCode", "street", "latitude", "longitude", "buildYear",
               "propertyType")
     columns = []
@@ -129,8 +132,7 @@ def quick_map(items: DataFrame, as_of: datetime | str | Column, *keep: str) -> D
             continue
         value = _read(key, kind)
         if key in defaults:
-            absent = F.variant_get("item", f"$.{key}", "variant").isNull()
-            value = F.when(absent, defaults[key]).otherwise(value)
-        columns.append(value.alias(column))
+            value = f"CASE WHEN variant_get(item, '$.{key}', 'variant') IS NULL THEN {defaults[key]} ELSE {value} END"
+        columns.append(F.expr(f"{value} AS {column}"))
     rows = items.select(*keep, *columns)
     return from_snake(rows, schemas.ACTIVE, REQUIRED_ACTIVE, as_of, *keep)

@@ -7,7 +7,7 @@ one after the other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import TYPE_CHECKING
@@ -24,14 +24,19 @@ if TYPE_CHECKING:
 
 @dataclass(frozen=True)
 class Written:
-    """The table after a write and what the write did, both not yet run."""
+    """The table after a write and, if asked for, what the write did. Neither has
+    run yet."""
 
     table: DataFrame
-    stats: DataFrame
+    count: Callable[[], DataFrame]
 
+    @property
+    def stats(self) -> DataFrame:
+        return self.count()
 
-def _struct(columns: Sequence[str]) -> Column:
-    return F.struct(*columns)
+
+def _struct(columns: Sequence[str]) -> str:
+    return f"struct({', '.join(columns)})"
 
 
 def fold(batch: DataFrame, feed: Feed, order: Sequence[str]) -> DataFrame:
@@ -39,9 +44,9 @@ def fold(batch: DataFrame, feed: Feed, order: Sequence[str]) -> DataFrame:
     metadata of the ``first``. Rows of one key meet before the shuffle."""
     by = _struct(order)
     return batch.groupBy(feed.key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max_by(_struct(feed.payload), by).alias("last"),
-        F.min_by(_struct(schemas.METADATA), by).alias("first"),
+        F.expr("CAST(count(1) AS INT) AS n"),
+        F.expr(f"max_by({_struct(feed.payload)}, {by}) AS last"),
+        F.expr(f"min_by({_struct(schemas.METADATA)}, {by}) AS first"),
     )
 
 
@@ -53,56 +58,45 @@ def upsert(
     Rows that break a constraint of the table fail and change nothing. A known
     key keeps ``scraped_at``; every column of the new row counts, NULLs too.
     """
-    now = ntz(as_of)
-    folded = fold(batch.filter(feed.storable()), feed, order)
-    old = table.select(feed.key, _struct([*feed.payload, *schemas.METADATA]).alias("old"))
+    folded = fold(batch.filter(feed.storable()), feed, order).withColumn("now", ntz(as_of))
+    old = table.selectExpr(feed.key, f"{_struct([*feed.payload, *schemas.METADATA])} AS old")
     both = old.join(folded, feed.key, "full_outer")
-
-    touched, known = F.col("n").isNotNull(), F.col("old").isNotNull()
-    n = F.col("n").cast("int")
-    columns = [F.col(feed.key)]
-    columns += [
-        F.when(touched, F.col("last")[c]).otherwise(F.col("old")[c]).alias(c) for c in feed.payload
-    ]
-    columns += [
-        F.when(known, F.col("old.scraped_at")).otherwise(F.col("first.scraped_at")).alias("scraped_at"),
-        F.when(~touched, F.col("old.updated_at"))
-        .when(known | (n > 1), now)
-        .otherwise(F.col("first.updated_at"))
-        .alias("updated_at"),
-        F.when(~touched, F.col("old.version"))
-        .when(known, F.col("old.version") + n)
-        .otherwise(F.col("first.version") + n - 1)
-        .alias("version"),
-    ]
-    result = both.select(*columns).select(*feed.columns)
-    return Written(result, upsert_stats(table, batch, feed))
+    values = {c: f"if(n IS NULL, old.{c}, last.{c})" for c in feed.payload}
+    values |= {
+        feed.key: feed.key,
+        "scraped_at": "if(old IS NULL, first.scraped_at, old.scraped_at)",
+        "updated_at": "CASE WHEN n IS NULL THEN old.updated_at WHEN old IS NOT NULL OR n > 1 THEN now "
+        "ELSE first.updated_at END",
+        "version": "CASE WHEN n IS NULL THEN old.version WHEN old IS NOT NULL THEN old.version + n "
+        "ELSE first.version + n - 1 END",
+    }
+    result = both.selectExpr(*[f"{values[c]} AS {c}" for c in feed.columns])
+    return Written(result, lambda: upsert_stats(table, batch, feed))
 
 
 def upsert_stats(table: DataFrame, batch: DataFrame, feed: Feed) -> DataFrame:
     """total, inserted, updated and failed rows; reads keys and checked columns only."""
-    keys = batch.groupBy(F.when(feed.storable(), F.col(feed.key)).alias(feed.key)).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    seen = keys.join(table.select(feed.key, F.lit(True).alias("_known")), feed.key, "left")
-    valid = F.col(feed.key).isNotNull()
+    key = feed.key
+    keys = batch.groupBy(F.when(feed.storable(), F.col(key)).alias(key)).agg(F.expr("count(1) AS n"))
+    seen = keys.join(table.selectExpr(key, "true AS known"), key, "left")
     counted = seen.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.count_if(valid & F.col("_known").isNull()).alias("inserted"),
-        F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("_valid"),
-    )
-    return counted.select(
-        "total",
-        "inserted",
-        (F.col("_valid") - F.col("inserted")).alias("updated"),
-        (F.col("total") - F.col("_valid")).alias("failed"),
+        F.expr("coalesce(sum(n), 0L) AS total"),
+        F.expr(f"count_if({key} IS NOT NULL AND known IS NULL) AS inserted"),
+        F.expr(f"coalesce(sum(n) FILTER (WHERE {key} IS NOT NULL), 0L) AS valid"),
     )
+    return counted.selectExpr("total", "inserted", "valid - inserted AS updated", "total - valid AS failed")
 
 
 @dataclass(frozen=True)
 class Updated:
+    """The table after a write and, if asked for, the keys it does not know."""
+
     table: DataFrame
-    not_found: DataFrame
+    look_up: Callable[[], DataFrame]
+
+    @property
+    def not_found(self) -> DataFrame:
+        return self.look_up()
 
 
 def update_existing(table: DataFrame, rows: DataFrame, feed: Feed, order: Sequence[str]) -> Updated:
@@ -112,17 +106,12 @@ def update_existing(table: DataFrame, rows: DataFrame, feed: Feed, order: Sequen
     ``not_found`` has the keys the table does not know.
     """
     carried = [c for c in feed.columns if c not in (feed.key, "scraped_at")]
-    last = (
-        rows.filter(feed.storable())
-        .groupBy(feed.key)
-        .agg(F.max_by(_struct(carried), _struct(order)).alias("new"))
+    last = rows.filter(feed.storable()).groupBy(feed.key).agg(
+        F.expr(f"max_by({_struct(carried)}, {_struct(order)}) AS new")
     )
-    joined = table.join(last, feed.key, "left")
-    merged = [
-        F.col(c) if c not in carried else F.when(F.col("new").isNotNull(), F.col("new")[c]).otherwise(F.col(c)).alias(c)
-        for c in feed.columns
-    ]
-    return Updated(joined.select(*merged), _not_found(table, rows, feed.key))
+    merged = [f"if(new IS NULL, {c}, new.{c}) AS {c}" if c in carried else c for c in feed.columns]
+    result = table.join(last, feed.key, "left").selectExpr(*merged)
+    return Updated(result, lambda: _not_found(table, rows, feed.key))
 
 
 def _not_found(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -131,4 +120,4 @@ def _not_found(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 def delete_keys(table: DataFrame, keys: DataFrame, key: str) -> Updated:
     """The table without the rows of ``keys``; ``not_found`` has the unknown keys."""
-    return Updated(table.join(keys.select(key), key, "left_anti"), _not_found(table, keys, key))
+    return Updated(table.join(keys.select(key), key, "left_anti"), lambda: _not_found(table, keys, key))

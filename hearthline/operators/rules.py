@@ -7,14 +7,14 @@ next to whatever columns identify the record.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.dates import iso_timestamp
-from hearthline.functions.variants import Fact, facts
+from hearthline.functions.variants import facts, terms
 from hearthline.operators.ordered import running
 
 ERRORS = "array<struct<field:string,value:string,message:string>>"
@@ -23,48 +23,46 @@ MAX_ERRORS = 1000
 
 @dataclass(frozen=True)
 class Rule:
+    """``bad`` is SQL in which {present}, {given}, {numeric}, {number}, {integral},
+    {text}, {is_text} and {truthy} stand for facts of the field (see
+    :mod:`hearthline.functions.variants`). NULL is not bad."""
+
     field: str
     message: str
-    bad: Callable[[Fact], Column]
+    bad: str
 
 
 def required(field: str) -> Rule:
-    return Rule(field, f"Required field '{field}' is missing or null", lambda f: ~f.given)
-
-
-def _number(field: str, message: str, holds: Callable[[Column], Column], null_is_bad: bool = False) -> Rule:
-    def bad(f: Fact) -> Column:
-        applies = f.present if null_is_bad else f.given
-        return applies & ~(f.numeric & F.coalesce(holds(f.number), F.lit(False)))
-
-    return Rule(field, message, bad)
-
+    return Rule(field, f"Required field '{field}' is missing or null", "NOT {given}")
 
-def _integer(field: str, message: str, low: int, high: int, null_is_bad: bool = False) -> Rule:
-    def bad(f: Fact) -> Column:
-        applies = f.present if null_is_bad else f.given
-        return applies & ~(f.integral & F.coalesce(f.number.between(low, high), F.lit(False)))
 
-    return Rule(field, message, bad)
+def _number(field: str, message: str, holds: str) -> Rule:
+    return Rule(field, message, "{given} AND NOT ({numeric} AND {number} " + holds + ")")
 
 
 def _iso_date(field: str) -> Rule:
-    return Rule(
-        field,
-        "Invalid date format",
-        lambda f: f.truthy & ~(f.is_text & iso_timestamp(f.text).isNotNull()),
-    )
+    date = iso_timestamp("<text>").replace("{", "{{").replace("}", "}}").replace("<text>", "{text}")
+    return Rule(field, "Invalid date format", "{truthy} AND NOT ({is_text} AND " + date + " IS NOT NULL)")
 
 
 def _common(year: int) -> list[Rule]:
+    # A null price or zip code breaks its own rule besides the required one.
     return [
-        _number("price", "Price must be a positive number", lambda n: n > 0, null_is_bad=True),
-        _number("rooms", "Rooms must be a non-negative number", lambda n: n >= 0),
-        _number("size", "Size must be a positive number", lambda n: n > 0),
-        _integer("zipCode", "zipCode must be a 4-digit number between 1000-9999", 1000, 9999, null_is_bad=True),
-        _integer("buildYear", f"buildYear must be between 1800 and {year}", 1800, year),
-        _number("latitude", "latitude must be between -90 and 90", lambda n: n.between(-90, 90)),
-        _number("longitude", "longitude must be between -180 and 180", lambda n: n.between(-180, 180)),
+        Rule("price", "Price must be a positive number", "{present} AND NOT ({numeric} AND {number} > 0)"),
+        _number("rooms", "Rooms must be a non-negative number", ">= 0"),
+        _number("size", "Size must be a positive number", "> 0"),
+        Rule(
+            "zipCode",
+            "zipCode must be a 4-digit number between 1000-9999",
+            "{present} AND NOT ({integral} AND {number} BETWEEN 1000 AND 9999)",
+        ),
+        Rule(
+            "buildYear",
+            f"buildYear must be between 1800 and {year}",
+            "{given} AND NOT ({integral} AND {number} BETWEEN 1800 AND " + str(year) + ")",
+        ),
+        _number("latitude", "latitude must be between -90 and 90", "BETWEEN -90 AND 90"),
+        _number("longitude", "longitude must be between -180 and 180", "BETWEEN -180 AND 180"),
     ]
 
 
@@ -78,7 +76,7 @@ def active_rules(year: int) -> list[Rule]:
     return [
         *map(required, REQUIRED_ACTIVE),
         *_common(year),
-        _number("daysForSale", "daysForSale must be a non-negative number", lambda n: n >= 0),
+        _number("daysForSale", "daysForSale must be a non-negative number", ">= 0"),
         _iso_date("createdDate"),
     ]
 
@@ -88,11 +86,15 @@ def sold_rules(year: int) -> list[Rule]:
     return [
         *map(required, REQUIRED_SOLD),
         *_common(year),
-        _number("sqmPrice", "sqmPrice must be a non-negative number", lambda n: n >= 0),
+        _number("sqmPrice", "sqmPrice must be a non-negative number", ">= 0"),
         _iso_date("soldDate"),
     ]
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> DataFrame:
     """``items`` with ``errors`` (all that apply, in rule order) and ``is_valid``.
 
@@ -101,19 +103,23 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
     if not enabled:
         return items.withColumns({"errors": F.array().cast(ERRORS), "is_valid": F.lit(True)})
     fields = list(dict.fromkeys(rule.field for rule in rules))
-    found = items.withColumn("_facts", F.struct(*[facts(F.col("item"), f).alias(f) for f in fields]))
-    reports, broken = [], F.lit(False)
+    found = items.selectExpr(
+        "*", f"named_struct({', '.join(f'{_quoted(f)}, {facts(f)}' for f in fields)}) AS _facts"
+    )
+    reports, broken = [], []
     for rule in rules:
-        fact = Fact(F.col("_facts")[rule.field])
-        report = F.struct(
-            F.lit(rule.field).alias("field"), fact.text.alias("value"), F.lit(rule.message).alias("message")
+        known = terms(f"_facts.`{rule.field}`")
+        bad = rule.bad.format(**known)
+        report = (
+            f"named_struct('field', {_quoted(rule.field)}, 'value', {known['text']}, "
+            f"'message', {_quoted(rule.message)})"
         )
-        bad = F.coalesce(rule.bad(fact), F.lit(False))
-        reports.append(F.when(bad, report))
-        broken = broken | bad
-    errors = F.filter(F.array(*reports), lambda e: e.isNotNull()).cast(ERRORS)
+        reports.append(f"CASE WHEN {bad} THEN {report} END")
+        broken.append(f"coalesce({bad}, false)")
+    errors = f"CAST(filter(array({', '.join(reports)}), e -> e IS NOT NULL) AS {ERRORS})"
     # is_valid does not read errors, so that a job that wants no report makes none.
-    return found.withColumns({"errors": errors, "is_valid": ~broken}).drop("_facts")
+    checked = found.selectExpr("*", f"{errors} AS errors", f"NOT ({' OR '.join(broken)}) AS is_valid")
+    return checked.drop("_facts")
 
 
 def error_budget(
