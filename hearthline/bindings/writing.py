@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.bindings import records, shapes
+from hearthline.bindings import loading, records, shapes
 from hearthline.bindings.views import AS_OF, CUT, ORDER, YEAR, Views, bound, sql
 from hearthline.operators import append, mapping, merge, rules
 from hearthline.plans import jobs
@@ -170,11 +170,20 @@ def a7(view: Views) -> DataFrame:
     return jobs.batch_stats(checked, stats)
 
 
+PAGE_ORDER = ("day", "page", "pos")
+LAST_DAY = "2001-12-31 12:00:00"
+
+
+def e1(view: Views) -> DataFrame:
+    """The pages of the sales, validated, mapped and upserted over the early ones."""
+    pages = shapes.sale_pages(view)
+    return jobs.ingest(pages, shapes.sold_table(view), SOLD, AS_OF, order=PAGE_ORDER).table
+
+
 def e2(view: Views) -> DataFrame:
-    """The pages of the sales, their last ten years upserted."""
-    made = shapes.sale_pages(view)
-    loaded = jobs.incremental(made, shapes.empty(view, SOLD), SOLD, AS_OF, days=3650, order=("day", "page", "pos"))
-    return loaded.table
+    """The same for the last thousand days only, into an empty table."""
+    pages = shapes.sale_pages(view)
+    return jobs.incremental(pages, shapes.empty(view, SOLD), SOLD, LAST_DAY, days=1000, order=PAGE_ORDER).table
 
 
 BINDINGS = {
@@ -283,8 +292,24 @@ BINDINGS = {
             **records.COUNTED,
         ),
     ),
+    "e1_ingest": (
+        bound(e1),
+        sql(
+            shapes.merged_sql("old", "landed", SOLD, AS_OF),
+            "v_held_sold",
+            "v_sale",
+            **SOLD_SQL,
+            stored=f"SELECT {loading.SALE_ROW}, 1 AS version FROM v_sale WHERE {loading.SALE_STORED}",
+            landed=shapes.folded_sql("stored", SOLD, ("estate_id",)),
+        ),
+    ),
     "e2_incremental": (
         bound(e2),
-        None,
+        sql(
+            f"""SELECT * FROM (SELECT {loading.SALE_ROW.replace(AS_OF, LAST_DAY)}, 1 AS version FROM v_sale
+                               WHERE {loading.SALE_STORED} AND build_year <= 2001)
+                WHERE sold_date BETWEEN DATE '2001-12-31' - INTERVAL 1000 DAY AND DATE '2001-12-31'""",
+            "v_sale",
+        ),
     ),
 }
