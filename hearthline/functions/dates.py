@@ -15,6 +15,9 @@ ISO_PATTERN = (
     r"(?:.(?<hour>\d{2})(?:(?<colon>:?)(?<minute>\d{2})(?:\k<colon>(?<second>\d{2})(?:[.,](?<fraction>\d+))?)?)?"
     r"(?:(?<sign>[+-])(?<hours>\d{2})(?:(?<mark>:?)(?<minutes>\d{2})(?:\k<mark>(?<seconds>\d{2})(?:[.,]\d+)?)?)?)?)?$"
 )
+# The two spellings met most, which a cast reads faster: a date, and a date-time to
+# the second or finer in UTC.
+_PLAIN_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?Z?)?$"
 # The parts by the number of their group.
 _GROUPS = {
     "year": 1, "month": 3, "day": 4, "hour": 5, "minute": 7, "second": 8, "fraction": 9,
@@ -67,7 +70,9 @@ def iso_timestamp(text: str) -> str:
         f"if(p[{_PARTS.index('sign')}] = '-', {shift}, -{shift}), {local}) END"
     )
     parts = f"CASE WHEN {zulu} RLIKE r'{ISO_PATTERN}' THEN split(regexp_replace({zulu}, r'{ISO_PATTERN}', '{listed}'), ',') END"
-    return f"transform(array({parts}), p -> {utc})[0]"
+    general = f"transform(array({parts}), p -> {utc})[0]"
+    plain = f"{text} RLIKE r'{_PLAIN_PATTERN}'"
+    return f"CASE WHEN {plain} THEN try_cast(rtrim('Z', {text}) AS TIMESTAMP_NTZ) ELSE {general} END"
 
 
 def days_back(as_of: datetime | str | Column, days: int) -> tuple[Column, Column]:

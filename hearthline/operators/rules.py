@@ -107,19 +107,21 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
         "*", f"named_struct({', '.join(f'{_quoted(f)}, {facts(f)}' for f in fields)}) AS _facts"
     )
     reports, broken = [], []
-    for rule in rules:
+    for i, rule in enumerate(rules):
         known = terms(f"_facts.`{rule.field}`")
-        bad = rule.bad.format(**known)
         report = (
             f"named_struct('field', {_quoted(rule.field)}, 'value', {known['text']}, "
             f"'message', {_quoted(rule.message)})"
         )
-        reports.append(f"CASE WHEN {bad} THEN {report} END")
-        broken.append(f"coalesce({bad}, false)")
-    errors = f"CAST(filter(array({', '.join(reports)}), e -> e IS NOT NULL) AS {ERRORS})"
+        reports.append(f"CASE WHEN _bad[{i}] THEN {report} END")
+        broken.append(f"coalesce({rule.bad.format(**known)}, false)")
+    judged = found.selectExpr("*", f"array({', '.join(broken)}) AS _bad")
     # is_valid does not read errors, so that a job that wants no report makes none.
-    checked = found.selectExpr("*", f"{errors} AS errors", f"NOT ({' OR '.join(broken)}) AS is_valid")
-    return checked.drop("_facts")
+    is_valid = "NOT array_contains(_bad, true)"
+    errors = f"filter(array({', '.join(reports)}), e -> e IS NOT NULL)"
+    none = f"CAST(array() AS {ERRORS})"
+    checked = judged.selectExpr("*", f"if({is_valid}, {none}, {errors}) AS errors", f"{is_valid} AS is_valid")
+    return checked.drop("_facts", "_bad")
 
 
 def error_budget(
