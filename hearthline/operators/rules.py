@@ -95,6 +95,10 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _settle(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.selectExpr("*", f"explode(array({column})) AS {name}").drop(column)
+
+
 def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> DataFrame:
     """``items`` with ``errors`` (all that apply, in rule order) and ``is_valid``.
 
@@ -103,9 +107,10 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
     if not enabled:
         return items.withColumns({"errors": F.array().cast(ERRORS), "is_valid": F.lit(True)})
     fields = list(dict.fromkeys(rule.field for rule in rules))
-    found = items.selectExpr(
-        "*", f"named_struct({', '.join(f'{_quoted(f)}, {facts(f)}' for f in fields)}) AS _facts"
-    )
+    # Facts and verdicts are generated columns, so that a filter on what follows
+    # stays above them instead of repeating the work that made them.
+    known_facts = ", ".join(f"{_quoted(f)}, {facts(f)}" for f in fields)
+    found = _settle(items.selectExpr("*", f"named_struct({known_facts}) AS _found"), "_found", "_facts")
     reports, broken = [], []
     for i, rule in enumerate(rules):
         known = terms(f"_facts.`{rule.field}`")
@@ -115,7 +120,7 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
         )
         reports.append(f"CASE WHEN _bad[{i}] THEN {report} END")
         broken.append(f"coalesce({rule.bad.format(**known)}, false)")
-    judged = found.selectExpr("*", f"array({', '.join(broken)}) AS _bad")
+    judged = _settle(found.selectExpr("*", f"array({', '.join(broken)}) AS _verdicts"), "_verdicts", "_bad")
     # is_valid does not read errors, so that a job that wants no report makes none.
     is_valid = "NOT array_contains(_bad, true)"
     errors = f"filter(array({', '.join(reports)}), e -> e IS NOT NULL)"
