@@ -46,11 +46,11 @@ def hot_groups(df: DataFrame, groups: Sequence[str], hot_rows: int, parts: int)
     """The at most ``parts / 4`` groups with more than four blocks of rows, and
     the block size ``_step``."""
     sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    return _hot(sizes, hot_rows, parts).select(*groups, "_step")
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    return _hot(sizes, total, hot_rows, parts).select(*groups, "_step")
 
 
-def _hot(sizes: DataFrame, hot_rows: int, parts: int) -> DataFrame:
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+def _hot(sizes: DataFrame, total: Column, hot_rows: int, parts: int) -> DataFrame:
     step = F.greatest(F.lit(hot_rows).cast("long"), F.ceil(total / parts).cast("long"))
     return sizes.withColumn("_step", step).filter(F.col("_n") > 4 * F.col("_step"))
 
@@ -186,7 +186,7 @@ def beside_group(
     facts = df.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in aggregates.items()]
     ).filter(known)
-    hot = _hot(facts, hot_rows, parts).drop("_n", "_step")
+    hot = _hot(facts, df.agg(F.count(F.lit(1))).scalar(), hot_rows, parts).drop("_n", "_step")
     on_hot = df.join(F.broadcast(hot), groups, "inner")
     others = df.join(F.broadcast(hot.select(*groups)), groups, "left_anti").join(
         facts.drop("_n"), groups, "left"
