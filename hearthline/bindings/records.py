@@ -150,8 +150,14 @@ def a6_listing(view: Views) -> DataFrame:
     return listed.select("page", *LISTING_KEY, F.size("errors").alias("n_errors"))
 
 
+def _budgeted(view: Views) -> DataFrame:
+    items = shapes.listing_items(view)
+    checked = rules.validate(items, rules.active_rules(YEAR))
+    return rules.error_budget(checked, "page", LISTING_KEY, BUDGET, items)
+
+
 def n2(view: Views) -> DataFrame:
-    spent = rules.error_budget(_checked(view), "page", LISTING_KEY, BUDGET)
+    spent = _budgeted(view)
     return spent.select("page", *LISTING_KEY, "examined", "is_valid", F.size("errors").alias("n_errors"))
 
 
@@ -163,8 +169,7 @@ BUDGETED = {
 
 
 def n2_summary(view: Views) -> DataFrame:
-    spent = rules.error_budget(_checked(view), "page", LISTING_KEY, BUDGET)
-    return rules.validation_summary(spent, ["page"])
+    return rules.validation_summary(_budgeted(view), ["page"])
 
 
 def _breaches(frame: str, key: tuple[str, ...], breaches: Callable) -> Callable[[Views], DataFrame]:

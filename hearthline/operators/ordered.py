@@ -92,12 +92,16 @@ def ordered(
     mins: Mapping[str, str] | None = None,
     lags: Mapping[str, str] | None = None,
     leads: Mapping[str, str] | None = None,
+    counted: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     parts: int = PARTS,
 ) -> DataFrame:
     """``df`` plus, per group in ``order``: the row ``number`` from 1, running
     ``sums`` and ``mins`` (name -> column, the row included), and the column's
-    value one row before (``lags``) or after (``leads``)."""
+    value one row before (``lags``) or after (``leads``).
+
+    ``counted`` is a frame with the same rows per group that is cheaper to make; the
+    groups are then counted there."""
     sums, mins, lags, leads = dict(sums or {}), dict(mins or {}), dict(lags or {}), dict(leads or {})
     kept = list(df.columns)
     groups = list(groups)
@@ -105,7 +109,8 @@ def ordered(
         df = df.withColumn("_all", F.lit(0))
         groups = ["_all"]
 
-    hot = hot_groups(df, groups, hot_rows, parts)
+    sized = df if counted is None or groups == ["_all"] else counted
+    hot = hot_groups(sized, groups, hot_rows, parts)
     placed = _beside(df, _splitters(df, groups, order, hot), groups, "left").withColumn("_block", _block(order))
 
     w = W.partitionBy(*groups, "_block").orderBy(*order)

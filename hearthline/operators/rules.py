@@ -134,12 +134,14 @@ def error_budget(
     group: str | Sequence[str],
     order: Sequence[str],
     max_errors: int = MAX_ERRORS,
+    items: DataFrame | None = None,
     **tuning,
 ) -> DataFrame:
     """``validated`` with ``examined``: false once the errors of earlier records
     in the group reach ``max_errors``.
 
-    ``is_valid`` becomes false for records not examined, and their errors go.
+    ``is_valid`` becomes false for records not examined, and their errors go. Give
+    the ``items`` that were validated to have groups counted without validating twice.
     """
     groups = [group] if isinstance(group, str) else list(group)
     counted = running(
@@ -147,6 +149,7 @@ def error_budget(
         groups,
         order,
         sums={"_so_far": "_errors"},
+        counted=items,
         **tuning,
     )
     examined = (F.col("_so_far") - F.col("_errors")) < max_errors

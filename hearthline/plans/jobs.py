@@ -43,7 +43,7 @@ def validated_items(
     if max_errors is None or not validate:
         return checked
     page = [c for c in order if c != "pos"]
-    return rules.error_budget(checked, page, ["pos"], max_errors)
+    return rules.error_budget(checked, page, ["pos"], max_errors, items)
 
 
 def ingest(
