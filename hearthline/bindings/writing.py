@@ -55,7 +55,7 @@ _SET = ", ".join(f"CASE WHEN b.id IS NULL THEN a.{c} ELSE b.{c} END AS {c}" for
 
 
 def _gone(view: Views) -> DataFrame:
-    """Homes of the bigger estates, known to the table or not."""
+    """Homes seen as houses, known to the table or not."""
     return view("v_active").filter(F.col("property_type") == 1).select("id")
 
 
@@ -82,7 +82,7 @@ def s8_stats(view: Views) -> DataFrame:
 
 
 def _appended_sales(view: Views) -> merge.Written:
-    """All sales in batches of a thousand by day onto the table of the early ones."""
+    """All sales in batches of ten by day onto the table of the early ones."""
     rows = append.number_batches(view("v_sold"), ("scraped_at", "estate_id"), 10)
     return append.bulk_append(shapes.sold_table(view), rows, SOLD)
 
