@@ -29,6 +29,7 @@ class Rule:
     hint: str = ""
 
 
+# Runs of one class of characters may state their length: a shorter run holds no longer one.
 # The patterns of the rules, by rule version. A new version holds new rules only.
 RULES: dict[int, tuple[Rule, ...]] = {
     1: (
@@ -39,8 +40,8 @@ RULES: dict[int, tuple[Rule, ...]] = {
             12,
             "(?i:passw|secret|token|api_?key)",
         ),
-        Rule("access", "AKIA[A-Z0-9]+", 0, 18, "AKIA"),
-        Rule("hex", "[0-9a-f]+", 0, 16, "[0-9a-f]{16}"),
+        Rule("access", "AKIA[A-Z0-9]{14,}", 0, 18, "AKIA"),
+        Rule("hex", "[0-9a-f]{16,}", 0, 16, "[0-9a-f]{16}"),
     ),
     2: (
         Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, "-----BEGIN"),
@@ -64,18 +65,15 @@ def spans_of(text: F.Column, rule: Rule) -> F.Column:
     between = F.transform(F.split(text, rule.pattern, -1), F.length)
     matched = F.regexp_extract_all(text, pattern, F.lit(0))
     kept = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matched
-    gaps, sizes, counted = between, F.transform(matched, F.length), F.transform(kept, F.length)
-    steps = F.transform(
-        gaps,
-        lambda gap, k: F.struct(gap.alias("gap"), F.get(sizes, k).alias("size"), F.get(counted, k).alias("kept")),
-    )
+    # zipped, so that each list is made once and not anew for every step
+    steps = F.arrays_zip(between, F.transform(matched, F.length), F.transform(kept, F.length))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("out"))
 
     def walk(state: F.Column, step: F.Column) -> F.Column:
-        start = state["at"] + step["gap"]
-        end = start + F.coalesce(step["size"], F.lit(0))
+        start = state["at"] + step["0"]
+        end = start + F.coalesce(step["1"], F.lit(0))
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        out = F.when(step["kept"] >= rule.least, F.array_append(state["out"], span)).otherwise(state["out"])
+        out = F.when(step["2"] >= rule.least, F.array_append(state["out"], span)).otherwise(state["out"])
         return F.struct(end.alias("at"), out.cast(SPANS).alias("out"))
 
     walked = F.aggregate(steps, zero, walk, lambda state: state["out"])
