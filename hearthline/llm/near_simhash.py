@@ -133,15 +133,19 @@ def _link_shards(radius: int):
     return run
 
 
-def fingerprint_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+def fingerprint_links(
+    fps: DataFrame, radius: int = RADIUS, shard: int = SHARD, keys: F.Column | None = None
+) -> DataFrame:
     """Links ``(a, b)`` that connect just the fingerprints that pairs within ``radius`` connect.
 
-    ``fps(fp)``: distinct signed longs, cheap to read twice. In each tree one link is kept
-    per set that a fingerprint joins, so links are fewer than ten times the fingerprints.
+    ``fps(fp)``: distinct signed longs, cheap to read twice. ``keys``: an array of ints of
+    which any two fingerprints within the radius share one; the ten block keys by default,
+    complete up to radius 3. In each tree one link is kept per set that a fingerprint
+    joins, so links are fewer than keys.
     """
-    if radius > RADIUS:
+    if keys is None and radius > RADIUS:
         raise ValueError(f"the block keys are complete up to radius {RADIUS}")
-    keyed = fps.select("fp", F.explode(block_keys()).alias("key"))
+    keyed = fps.select("fp", F.explode(block_keys() if keys is None else keys).alias("key"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")  # alone: no partner
     trees = F.ceil(F.col("n") / shard).cast("int")
     own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("trees")).cast("int")

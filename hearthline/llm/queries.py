@@ -4,10 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthline.llm import digests, near_simhash, packing, quality, secrets_ledger, token_counts, toxicity
+from hearthline.llm import (
+    decontamination,
+    digests,
+    licenses,
+    line_dedup,
+    near_simhash,
+    packing,
+    quality,
+    secrets_ledger,
+    token_counts,
+    toxicity,
+)
 from hearthline.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, folder, "documents"))
+
+
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.of_documents(table(spark, folder, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_digests(spark: SparkSession, folder: str) -> DataFrame:
     return digests.fingerprints(table(spark, folder, "documents"))
 
@@ -37,6 +60,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_licenses": op2_licenses,
+    "op3_decontamination": op3_decontamination,
     "op4_digests": op4_digests,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
@@ -45,4 +71,4 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
-ORACLES = {"op7_secrets": secrets_ledger.oracle()}
+ORACLES = {"op2_licenses": licenses.oracle(), "op7_secrets": secrets_ledger.oracle()}
