@@ -66,7 +66,7 @@ def components(links: DataFrame) -> DataFrame:
 
     def state(pairs: DataFrame) -> tuple:
         # a sum of hashes within the range of long: bits are cut before summing
-        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 40) - 1)))).first())
+        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 30) - 1)))).first())
 
     pairs = cut(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

@@ -25,8 +25,10 @@ BLOCKS = 16
 #: Words of one window at most: longer items are cut into several.
 LONGEST = 200
 
-_ONES = 0x0101010101010101
-_TOPS = -0x7F7F7F7F7F7F7F80  # 0x80 in every byte
+#: Counters of 16 bits in a long, four to each; the test bit keeps sums clear of the sign.
+_LANES = 16
+_ONES = 0x0001000100010001
+_TEST = 14
 
 
 def words(text: str = "text") -> F.Column:
@@ -41,24 +43,21 @@ def shingles(of: str = "words") -> F.Column:
 
 
 def simhash(of: str = "shingles") -> F.Column:
-    """The majority bits of the shingles' xxhash64, for up to 254 shingles.
-
-    Each of eight longs counts eight bits in its eight bytes.
-    """
-    hashes = F.transform(of, F.xxhash64)
-    zero = F.struct(*(F.lit(0).cast("long").alias(f"b{k}") for k in range(8)))
+    """The majority bits of the shingles' xxhash64, for fewer than 2**14 shingles."""
+    hashes = F.transform(of, lambda s: F.xxhash64(s))
+    zero = F.struct(*(F.lit(0).cast("long").alias(f"b{k}") for k in range(_LANES)))
 
     def add(state: F.Column, h: F.Column) -> F.Column:
-        ones = [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONES)) for k in range(8)]
-        return F.struct(*((state[f"b{k}"] + ones[k]).alias(f"b{k}") for k in range(8)))
+        ones = [F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONES)) for k in range(_LANES)]
+        return F.struct(*((state[f"b{k}"] + ones[k]).alias(f"b{k}") for k in range(_LANES)))
 
     def over_half(state: F.Column) -> F.Column:
-        # a byte's top bit is set once its count, raised so far, passes half of all
-        raise_by = (F.lit(127) - F.floor(F.size(of) / 2)) * F.lit(_ONES)
+        # raised so far that the test bit is set once a count passes half of all
+        raise_by = (F.lit((1 << _TEST) - 1) - F.floor(F.size(of) / 2)) * F.lit(_ONES)
         value = F.lit(0).cast("long")
-        for k in range(8):
-            tops = (state[f"b{k}"] + raise_by).bitwiseAND(F.lit(_TOPS))
-            value = value.bitwiseOR(F.shiftleft(F.shiftrightunsigned(tops, 7), k))
+        for k in range(_LANES):
+            passed = F.shiftrightunsigned(state[f"b{k}"] + raise_by, _TEST).bitwiseAND(F.lit(_ONES))
+            value = value.bitwiseOR(F.shiftleft(passed, k))
         return value
 
     return F.aggregate(hashes, zero, add, over_half)
@@ -160,7 +159,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     real = F.filter(
         "hits",
         lambda x: (place(x) >= 0)
-        & (F.array_join(F.slice("words", F.greatest(place(x), F.lit(0)) + 1, WORDS), " ") == x["shingle"]),
+        & (
+            F.array_join(F.slice("words", F.greatest(place(x), F.lit(0)) + 1, F.least(x["size"], F.lit(WORDS))), " ")
+            == x["shingle"]
+        ),
     )
 
     def around(x: F.Column) -> F.Column:
