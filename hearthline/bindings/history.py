@@ -58,6 +58,15 @@ def w5(view: Views) -> DataFrame:
     return history.cross_id_duplicates(view("v_held"))
 
 
+def w5_unknown(view: Views) -> DataFrame:
+    """Homes of which some know no street, zip code or size."""
+    unknown = {"street": 3, "zip_code": 5, "size": 7}
+    held = view("v_held")
+    return history.cross_id_duplicates(
+        held.withColumns({c: F.when(F.col("id") % n != 0, F.col(c)) for c, n in unknown.items()})
+    )
+
+
 def f4(view: Views) -> DataFrame:
     return view("v_active").select("id", *ORDER, checksum("id", "price", "size", "zip_code", "street").alias("checksum"))
 
@@ -132,8 +141,22 @@ BINDINGS = {
         sql(
             r"""SELECT regexp_replace(lower(trim(street)), '\s+', ' ', 'g') AS street_norm, zip_code, size,
                       count(DISTINCT id) AS id_count, min(id) AS kept_id
-               FROM v_held GROUP BY 1, 2, 3 HAVING count(DISTINCT id) > 1""",
+               FROM v_held WHERE street IS NOT NULL AND zip_code IS NOT NULL AND size IS NOT NULL
+               GROUP BY 1, 2, 3 HAVING count(DISTINCT id) > 1""",
+            "v_held",
+        ),
+    ),
+    "w5_unknown_places": (
+        bound(w5_unknown),
+        sql(
+            r"""SELECT regexp_replace(lower(trim(street)), '\s+', ' ', 'g') AS street_norm, zip_code, size,
+                      count(DISTINCT id) AS id_count, min(id) AS kept_id FROM places
+               WHERE street IS NOT NULL AND zip_code IS NOT NULL AND size IS NOT NULL
+               GROUP BY 1, 2, 3 HAVING count(DISTINCT id) > 1""",
             "v_held",
+            places="""SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE street END AS street,
+                             CASE WHEN id % 5 = 0 THEN NULL ELSE zip_code END AS zip_code,
+                             CASE WHEN id % 7 = 0 THEN NULL ELSE size END AS size FROM v_held""",
         ),
     ),
     "f4_checksum": (

@@ -10,6 +10,7 @@ from hearthline.bindings.views import AS_OF, ORDER, YEAR, Views, bound, sql
 from hearthline.functions.dates import iso_timestamp
 from hearthline.functions.scalars import type_name
 from hearthline.operators import append, mapping, rules, stats
+from hearthline.operators.history import version_history
 from hearthline.plans.feeds import ACTIVE, SOLD
 from hearthline.plans.jobs import quick_load
 from hearthline.sources import pages, store
@@ -162,6 +163,37 @@ def r2(view: Views) -> DataFrame:
     return _refreshed(spark, folder)
 
 
+def r2_sources(view: Views) -> DataFrame:
+    """Two sources, each with its own checkpoint, into one store: no batch of either is lost."""
+    made = shapes.sale_pages(view)
+    spark, folder = made.sparkSession, shared_folder(made.sparkSession)
+    place, early = store.Store(spark, f"{folder}/store"), F.col("day") < F.lit("1998-01-01").cast("timestamp_ntz")
+    for name, part in (("early", made.filter(early)), ("late", made.filter(~early))):
+        _land(part, f"{folder}/{name}")
+        stream = pages.page_stream(spark, f"{folder}/{name}", one_per_line=True)
+        refresh.stream_upsert(stream, place, SOLD, f"{folder}/c_{name}", clock=_moment).awaitTermination()
+    return place.read_current(SOLD)
+
+
+def n5_stored(view: Views) -> DataFrame:
+    """Versions walked over the stored history of two drops."""
+    made = shapes.sale_pages(view)
+    spark, folder = made.sparkSession, shared_folder(made.sparkSession)
+    _land(made.filter(F.col("day") < F.lit("1998-01-01").cast("timestamp_ntz")), f"{folder}/pages")
+    _refreshed(spark, folder)
+    _land(made, f"{folder}/pages")
+    _refreshed(spark, folder)
+    taken = store.Store(spark, f"{folder}/store").read_taken(SOLD)
+    walked = version_history(taken, "estate_id", ["batch"])
+    return walked.select("estate_id", "version_no", "price", "old_price", "change_percent")
+
+
+def s10_sold(view: Views) -> DataFrame:
+    from hearthline.operators.search import lookup
+
+    return lookup(shapes.sold_table(view), "estate_id", 42)
+
+
 def r4(view: Views) -> DataFrame:
     """Counts observed while the validated records are written."""
     from pyspark.sql import Observation
@@ -321,6 +353,24 @@ BINDINGS = {
             "v_sale",
         ),
     ),
+    "r2_two_sources": (
+        bound(r2_sources),
+        sql(f"SELECT {SALE_ROW}, 1 AS version FROM v_sale WHERE {SALE_STORED}", "v_sale"),
+    ),
+    "n5_over_history": (
+        bound(n5_stored),
+        sql(
+            """SELECT estate_id, CAST(1 AS BIGINT) AS version_no, price, CAST(NULL AS INT) AS old_price,
+                      CAST(NULL AS DOUBLE) AS change_percent FROM taken
+               UNION ALL SELECT estate_id, 2, price, price, 0e0 FROM taken WHERE day < TIMESTAMP '1998-01-01'""",
+            "v_sale",
+            taken=f"SELECT estate_id, price, day FROM v_sale WHERE {SALE_STORED}",
+        ),
+    ),
+    "s10_sold_lookup": (
+        bound(s10_sold),
+        sql("SELECT * FROM old WHERE estate_id = 42", "v_held_sold", **shapes.tables_sql(SOLD)),
+    ),
     "r4_observe": (
         bound(r4),
         sql(

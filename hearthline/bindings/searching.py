@@ -142,7 +142,13 @@ BINDINGS = {
         latitudeMin=55, latitudeMax=56.5, longitudeMin=8.2, longitudeMax=8.7,
     ),
     "q12_city_zip": _active("city = 'NATION_7'", city="NATION_7"),
-    "q12_zip": _active("zip_code = 2100", zipCode=2100),
+    "q12_zip": _active("zip_code = 2390", zipCode=2390),
+    "q11_sold_bounding_box": _sold(
+        "latitude BETWEEN 55 AND 56.5 AND longitude BETWEEN 8.2 AND 9.7",
+        latitudeMin=55, latitudeMax=56.5, longitudeMin=8.2, longitudeMax=9.7,
+    ),
+    "q12_sold_city": _sold("city = 'NATION_7'", city="NATION_7"),
+    "q12_sold_zip": _sold("zip_code = 2165", zipCode=2165),
     "t2_active_page": (
         bound(_sorted),
         sql(

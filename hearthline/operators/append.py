@@ -95,5 +95,18 @@ def bulk_append(table: DataFrame, rows: DataFrame, feed: Feed) -> Written:
 
 
 def insert_one(table: DataFrame, row: DataFrame, feed: Feed) -> Written:
-    """One row added if the table can hold it and does not know its key."""
-    return bulk_append(table, row.withColumn("batch", F.lit(0).cast("long")), feed)
+    """One row added if the table can hold it and does not know its key. Nothing runs yet."""
+    entered = row.filter(feed.storable()).join(table.select(feed.key), feed.key, "left_anti")
+
+    def count() -> DataFrame:
+        told = row.selectExpr("0L AS entered", "1L AS given").unionByName(
+            entered.selectExpr("1L AS entered", "0L AS given")
+        )
+        return told.selectExpr("entered", "given").groupBy().agg(
+            F.expr("coalesce(sum(entered), 0L) AS inserted"),
+            F.expr("coalesce(sum(given) - sum(entered), 0L) AS failed"),
+            F.expr("coalesce(sum(given), 0L) AS total"),
+        )
+
+    columns = feed.columns
+    return Written(table.select(*columns).unionByName(entered.select(*columns)), count)

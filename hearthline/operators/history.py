@@ -55,7 +55,7 @@ def dedup_latest(table: DataFrame, key: str, **tuning) -> Deduplicated:
 
 def version_history(hits: DataFrame, key: str, order: Sequence[str], seen_at: str = "scraped_at", **tuning) -> DataFrame:
     """Every hit of a home numbered from 1, with the price before, the change in
-    percent and the time it was in force."""
+    percent (NULL after a price of zero) and the time it was in force."""
     walked = ordered(
         hits,
         [key],
@@ -65,7 +65,7 @@ def version_history(hits: DataFrame, key: str, order: Sequence[str], seen_at: st
         leads={"valid_to": seen_at},
         **tuning,
     )
-    change = (F.col("price") - F.col("old_price")) / F.col("old_price") * 100
+    change = F.try_divide(F.col("price") - F.col("old_price"), F.col("old_price")) * 100
     return walked.withColumns({"change_percent": change, "valid_from": F.col(seen_at)})
 
 
@@ -119,11 +119,12 @@ def normalised_street(street: Column) -> Column:
 def cross_id_duplicates(table: DataFrame, key: str = "id") -> DataFrame:
     """Homes listed under several ids: equal normalised street, zip code and size.
 
-    ``kept_id`` is the smallest id of the home.
+    ``kept_id`` is the smallest id of the home. A home whose street, zip code or size
+    is unknown equals no other.
     """
     place = [normalised_street(F.col("street")).alias("street_norm"), F.col("zip_code"), F.col("size")]
     # Distinct ids first: a home seen often is one row per id before it meets the others.
-    ids = table.select(*place, key).distinct()
+    ids = table.select(*place, key).dropna(subset=["street_norm", "zip_code", "size"]).distinct()
     return (
         ids.groupBy("street_norm", "zip_code", "size")
         .agg(F.count(F.lit(1)).alias("id_count"), F.min(key).alias("kept_id"))

@@ -57,21 +57,25 @@ def upsert(
 
     Rows that break a constraint of the table fail and change nothing. A known
     key keeps ``scraped_at``; every column of the new row counts, NULLs too.
+
+    Only rows the batch touches are joined to it; all others pass by. A batch small
+    enough for Spark to broadcast its keys leaves the table where it lies.
     """
-    folded = fold(batch.filter(feed.storable()), feed, order).withColumn("now", ntz(as_of))
-    old = table.selectExpr(feed.key, f"{_struct([*feed.payload, *schemas.METADATA])} AS old")
-    both = old.join(folded, feed.key, "full_outer")
-    values = {c: f"if(n IS NULL, old.{c}, last.{c})" for c in feed.payload}
+    folded = fold(batch.filter(feed.storable()), feed, order)
+    keys = folded.select(feed.key)
+    untouched = table.select(*feed.columns).join(keys, feed.key, "left_anti")
+    matching = table.select(*feed.columns).join(keys, feed.key, "left_semi")
+    old = matching.selectExpr(feed.key, f"{_struct([*feed.payload, *schemas.METADATA])} AS old")
+    touched = folded.join(old, feed.key, "left").withColumn("now", ntz(as_of))
+    values = {c: f"last.{c}" for c in feed.payload}
     values |= {
         feed.key: feed.key,
         "scraped_at": "if(old IS NULL, first.scraped_at, old.scraped_at)",
-        "updated_at": "CASE WHEN n IS NULL THEN old.updated_at WHEN old IS NOT NULL OR n > 1 THEN now "
-        "ELSE first.updated_at END",
-        "version": "CASE WHEN n IS NULL THEN old.version WHEN old IS NOT NULL THEN old.version + n "
-        "ELSE first.version + n - 1 END",
+        "updated_at": "if(old IS NOT NULL OR n > 1, now, first.updated_at)",
+        "version": "if(old IS NOT NULL, old.version + n, first.version + n - 1)",
     }
-    result = both.selectExpr(*[f"{values[c]} AS {c}" for c in feed.columns])
-    return Written(result, lambda: upsert_stats(table, batch, feed))
+    written = touched.selectExpr(*[f"{values[c]} AS {c}" for c in feed.columns])
+    return Written(untouched.unionByName(written), lambda: upsert_stats(table, batch, feed))
 
 
 def upsert_stats(table: DataFrame, batch: DataFrame, feed: Feed) -> DataFrame:

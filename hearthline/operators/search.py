@@ -1,7 +1,8 @@
 """Searches over the stored tables, with the parameter names of the source.
 
-All bounds are inclusive, and a NULL fails its bound. Predicates are plain
-comparisons on columns, so they reach the scan.
+All bounds are inclusive, and a NULL fails its bound. Predicates on single columns are
+plain comparisons, so they reach the scan; price per size, free text and a part of a
+street are computed from the rows that the other predicates leave.
 """
 
 from __future__ import annotations
@@ -70,14 +71,26 @@ def _free_text(text: str) -> Column:
     return F.lower("street").contains(wanted) | F.lower("city").contains(wanted)
 
 
+def _class_up_to(worst: str) -> Column:
+    """Bounds on the plain column that a class up to this letter keeps; they reach the scan."""
+    small, name = worst.lower(), F.col("energy_class")
+    after = chr(ord(worst[0].upper()) + 1)
+    return (name < after) | ((name >= "a") & (name < chr(ord(small[0]) + 1))) | (name >= "\x80")
+
+
+def _class_from(best: str) -> Column:
+    name = F.col("energy_class")
+    return (name >= best[0].upper()) | (name >= best[0].lower())
+
+
 # Energy classes are letters, A the best: the minimum is the worst class allowed.
 _ACTIVE: dict[str, Callable[[Any], Column]] = {
     **_ranges(ACTIVE_RANGES),
     **_ranges(BOX),
     "sqmPriceMin": lambda v: _sqm_price() >= v,
     "sqmPriceMax": lambda v: _sqm_price() <= v,
-    "energyClassMin": lambda v: F.ascii(F.upper("energy_class")) <= ord(v.upper()),
-    "energyClassMax": lambda v: F.ascii(F.upper("energy_class")) >= ord(v.upper()),
+    "energyClassMin": lambda v: _class_up_to(v) & (F.ascii(F.upper("energy_class")) <= ord(v.upper())),
+    "energyClassMax": lambda v: _class_from(v) & (F.ascii(F.upper("energy_class")) >= ord(v.upper())),
     "propertyType": _equals("property_type"),
     "city": _equals("city"),
     "zipCode": _equals("zip_code"),

@@ -76,6 +76,14 @@ def batch_stats(validated: DataFrame, upsert_stats: DataFrame) -> DataFrame:
     return summary.unionByName(stored).agg(*[F.sum(c).alias(c) for c in names])
 
 
+def arrived_stats(arrived: DataFrame, upsert_stats: DataFrame) -> DataFrame:
+    """As :func:`batch_stats`, from stored records that say whether the table took them."""
+    counted = arrived.selectExpr("1L AS processed", "0L AS inserted", "0L AS updated", "if(taken, 0L, 1L) AS failed")
+    stored = upsert_stats.selectExpr("0L AS processed", "inserted", "updated", "0L AS failed")
+    names = ("processed", "inserted", "updated", "failed")
+    return counted.unionByName(stored).agg(*[F.expr(f"coalesce(sum({c}), 0L) AS {c}") for c in names])
+
+
 def incremental(
     pages: DataFrame, table: DataFrame, feed: Feed, as_of: datetime | str, days: int = 7, **how
 ) -> Ingest:

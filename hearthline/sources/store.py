@@ -4,10 +4,16 @@
 ``<root>/history/<name>/batch=<n>`` the rows batch n brought. A snapshot counts
 once Spark has marked it complete, so the newest complete one is the table: a
 write never touches what readers see, and a batch written twice is the same batch.
+
+The store numbers its batches itself. A history batch is signed with the run and
+the number that the run gave the batch, so a run that repeats a batch after a crash
+is recognised, whatever other runs or writers have brought meanwhile. One writer at
+a time may write a table.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
@@ -22,6 +28,11 @@ if TYPE_CHECKING:
 _DONE = "_SUCCESS"
 
 
+def _signature(run: str, number: int) -> str:
+    """Name of an empty file that readers pass over."""
+    return f"_run-{hashlib.sha256(run.encode()).hexdigest()[:32]}-{number}"
+
+
 def dataset_size(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Bytes, MB and number of the files under ``path``; contents are not read."""
     files = (
@@ -62,14 +73,31 @@ class Store:
                 found.append(int(child.removeprefix("batch=")))
         return sorted(found)
 
+    def next_batch(self, feed: Feed) -> int:
+        """The number after the newest complete snapshot."""
+        return (self.batches("current", feed.name) or [-1])[-1] + 1
+
+    def batch_of(self, feed: Feed, run: str, number: int) -> int | None:
+        """The batch that a run's own batch ``number`` became, complete or not."""
+        signed = self._path("history", feed.name, "batch=*", _signature(run, number))
+        found = self._files().globStatus(signed) or []
+        return max((int(f.getPath().getParent().getName().removeprefix("batch=")) for f in found), default=None)
+
+    def sign(self, feed: Feed, batch: int, run: str, number: int) -> None:
+        """Say which batch of which run a history batch holds."""
+        self._files().create(self._path("history", feed.name, f"batch={batch:012d}", _signature(run, number)), True).close()
+
     def _folder(self, kind: str, name: str, batch: int) -> str:
         return f"{self.root}/{kind}/{name}/batch={batch:012d}"
 
     def write_current(self, table: DataFrame, feed: Feed, batch: int) -> None:
         """The whole table after ``batch``, sorted by zip code inside its files.
 
-        Sales are laid out by year; big years become several files.
+        Sales are laid out by year; big years become several files. A batch below the
+        newest complete one is refused, as no reader would ever see it.
         """
+        if batch < self.next_batch(feed) - 1:
+            raise ValueError(f"{feed.name} is at batch {self.next_batch(feed) - 1} already; {batch} would be lost")
         rows = table.select(*feed.columns)
         if "sold_date" in feed.columns:
             rows = rows.withColumn("sold_year", F.year("sold_date")).hint("rebalance", "sold_year")
@@ -93,9 +121,21 @@ class Store:
         rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def read_history(self, name: str) -> DataFrame:
-        """Every row ever brought, with the ``batch`` that brought it."""
-        return self.spark.read.parquet(f"{self.root}/history/{name}")
+    def read_history(self, name: str, table: str | None = None) -> DataFrame:
+        """Every row of the complete batches, with the ``batch`` that brought it.
+
+        ``table``: whose batches count, ``name`` itself by default.
+        """
+        newest = (self.batches("current", table or name) or [-1])[-1]
+        return self.spark.read.parquet(f"{self.root}/history/{name}").filter(F.col("batch") <= newest)
+
+    def read_taken(self, feed: Feed) -> DataFrame:
+        """The rows of the history that the table took."""
+        return self.read_history(feed.name).filter("taken").drop("taken", "is_valid")
+
+    def read_refused(self, feed: Feed) -> DataFrame:
+        """The rows of the history that broke a rule or a constraint."""
+        return self.read_history(feed.name).filter("NOT taken").drop("taken")
 
     def drop_old(self, feed: Feed, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` complete snapshots of a table."""

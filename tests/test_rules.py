@@ -7,9 +7,9 @@ from hearthline.functions.variants import TERMS
 from hearthline.operators import constraints, rules
 from hearthline.plans.feeds import ACTIVE, SOLD
 
-GOOD = {"id": 1, "price": 2500000, "rooms": 4.0, "size": 120, "city": "Aarhus", "zipCode": 8000, "street": "A 1"}
+GOOD = {"id": 1, "price": 1875000, "rooms": 3.5, "size": 94, "city": "Ribe", "zipCode": 6760, "street": "A 1"}
 GOOD_SALE = {
-    "estateId": 1, "address": "A 1", "zipCode": 8000, "price": 100, "soldDate": "2024-05-01", "city": "Aarhus",
+    "estateId": 1, "address": "A 1", "zipCode": 8000, "price": 100, "soldDate": "2024-05-01", "city": "Ribe",
 }
 GONE = object()
 

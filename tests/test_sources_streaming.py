@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+from hearthline.operators import history
 from hearthline.plans import jobs
 from hearthline.plans.feeds import ACTIVE, SOLD
 from hearthline.schemas import LEDGER_EVENT
@@ -90,14 +91,15 @@ def test_stream_of_two_drops_with_a_restart(spark, tmp_path):
     assert second[2].price == 70 and second[6].price == 60 and second[2].scraped_at == first[2].scraped_at
     assert run() == second
 
-    runs = place.read_history("sold_runs").orderBy("batch").collect()
+    runs = place.read_history("sold_runs", "sold").orderBy("batch").collect()
     assert [(r.processed, r.inserted, r.updated, r.failed) for r in runs] == [(5, 3, 0, 2), (3, 1, 2, 0)]
     # The table keeps the last state, the history every one.
-    assert place.read_history("sold").filter("price IS NOT NULL").count() == 7
+    assert place.read_taken(SOLD).count() == 6 and place.read_refused(SOLD).count() == 2
 
     # The batch comes again after a crash: nothing rises twice.
     batch = pages.read_pages(spark, folder)
-    assert refresh.apply_batch(batch, 1, place, SOLD, AS_OF) is False
+    run_id = refresh.run_of(spark, str(tmp_path / "checkpoint"))
+    assert refresh.apply_batch(batch, 1, place, SOLD, AS_OF, run=run_id) is False
     assert {r.estate_id: r for r in place.read_current(SOLD).collect()} == second
 
 
@@ -116,6 +118,43 @@ def test_batch_cut_short_is_done_again(spark, tmp_path):
     assert place.read_history("sold").count() == 3
 
 
+def test_no_batch_is_lost(spark, tmp_path):
+    """Neither behind a batch of another writer, nor from a second source or a renewed checkpoint."""
+    place = store.Store(spark, str(tmp_path / "store"))
+    rows = [(9, "A", 8000, 5, AS_OF.date(), None, None, None, None, None, None, None, None, None, "C", AS_OF, AS_OF, 1)]
+    place.write_current(spark.createDataFrame(rows, SOLD.schema), SOLD, 17)
+
+    def run(source, checkpoint):
+        stream = pages.page_stream(spark, str(tmp_path / source))
+        refresh.stream_upsert(stream, place, SOLD, str(tmp_path / checkpoint)).awaitTermination()
+        return {r.estate_id: r.version for r in place.read_current(SOLD).collect()}
+
+    land(tmp_path / "one", "p.json", page_text([sale(1)]))
+    assert run("one", "c1") == {9: 1, 1: 1}
+    land(tmp_path / "two", "p.json", page_text([sale(2)]))
+    assert run("two", "c2") == {9: 1, 1: 1, 2: 1}
+    assert run("one", "c3") == {9: 1, 1: 2, 2: 1}
+    assert run("one", "c1") == run("two", "c2") == {9: 1, 1: 2, 2: 1}
+    with pytest.raises(ValueError, match="would be lost"):
+        place.write_current(place.read_current(SOLD), SOLD, 17)
+
+
+def test_history_holds_what_the_table_took(spark, tmp_path):
+    """A price below one is valid but cannot be stored; versions can be walked over it."""
+    place = store.Store(spark, str(tmp_path / "store"))
+    for n, price in enumerate((0.5, 100, 0.5, 120)):
+        land(tmp_path / f"d{n}", "p.json", page_text([{"id": 1, "price": price, "rooms": 1, "size": 2, "city": "c", "zipCode": 2000,
+                                                       "street": "s"}], 0))
+        made = pages.read_pages(spark, str(tmp_path / f"d{n}"))
+        refresh.apply_batch(made, n, place, ACTIVE, AS_OF)
+    assert place.read_current(ACTIVE).first().version == 2
+    taken = history.version_history(place.read_taken(ACTIVE), "id", ["batch"]).orderBy("version_no").collect()
+    assert [(r.version_no, r.price, r.change_percent) for r in taken] == [(1, 100, None), (2, 120, 20.0)]
+    assert place.read_refused(ACTIVE).count() == 2
+    every = history.version_history(place.read_history("active"), "id", ["batch"]).orderBy("version_no").collect()
+    assert [r.change_percent for r in every] == [None, None, -100.0, None]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     land(tmp_path / "pages", "p.json", page_text([{"id": k % 3, "price": 5 + k, "rooms": 1, "size": 2, "city": "c", "zipCode": 1000 + k,
                                                   "street": "s"} for k in range(9)], 0))
