@@ -47,7 +47,7 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     ``df`` should be cheap to count: a checkpoint or a small table.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def components(links: DataFrame) -> DataFrame:
