@@ -28,14 +28,23 @@ TERMS = {
 }
 
 
-def facts(field: str, item: str = "item") -> str:
-    """struct(value, kind, numeric, number) of a field; absent keys give NULL and
-    false. The number is read only where there is one: a cast that fails is slow.
+def value(field: str, item: str = "item") -> str:
+    """A field as it stands in the record; NULL if the key is absent."""
+    return f"variant_get({item}, '$.{field}', 'variant')"
+
+
+def kind(value: str) -> str:
+    """The kind of a value taken out before."""
+    return f"schema_of_variant({value})"
+
+
+def facts(value: str, kind: str) -> str:
+    """struct(value, kind, numeric, number) of a value and its kind, both columns; absent
+    keys give NULL and false. The number is read only where there is one: a cast that
+    fails is slow.
     """
-    value = f"variant_get({item}, '$.{field}', 'variant')"
-    kind = f"schema_of_variant({value})"
     numeric = f"coalesce({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%', false)"
-    number = f"CASE WHEN {numeric} THEN try_variant_get({item}, '$.{field}', 'double') END"
+    number = f"CASE WHEN {numeric} THEN try_variant_get({value}, '$', 'double') END"
     return f"named_struct('value', {value}, 'kind', {kind}, 'numeric', {numeric}, 'number', {number})"
 
 

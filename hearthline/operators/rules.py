@@ -7,14 +7,14 @@ next to whatever columns identify the record.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.dates import iso_timestamp
-from hearthline.functions.variants import facts, terms
+from hearthline.functions.variants import facts, kind, terms, value
 from hearthline.operators.ordered import running
 
 ERRORS = "array<struct<field:string,value:string,message:string>>"
@@ -109,8 +109,14 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
     fields = list(dict.fromkeys(rule.field for rule in rules))
     # Facts and verdicts are generated columns, so that a filter on what follows
     # stays above them instead of repeating the work that made them.
-    known_facts = ", ".join(f"{_quoted(f)}, {facts(f)}" for f in fields)
-    found = _settle(items.selectExpr("*", f"named_struct({known_facts}) AS _found"), "_found", "_facts")
+    def settled(df: DataFrame, name: str, of_field: Callable[[str], str]) -> DataFrame:
+        every = ", ".join(f"{_quoted(f)}, {of_field(f)}" for f in fields)
+        return _settle(df.selectExpr("*", f"named_struct({every}) AS _made"), "_made", name)
+
+    # Values, then kinds, then the rest, so that each is worked out once.
+    raw = settled(items, "_raw", value)
+    kinds = settled(raw, "_kinds", lambda f: kind(f"_raw.`{f}`"))
+    found = settled(kinds, "_facts", lambda f: facts(f"_raw.`{f}`", f"_kinds.`{f}`")).drop("_raw", "_kinds")
     reports, broken = [], []
     for i, rule in enumerate(rules):
         known = terms(f"_facts.`{rule.field}`")
