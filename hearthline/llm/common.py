@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.sources.scratch import cut
+from hearthline.sources.scratch import shared_folder
 
 #: Rows of one Arrow batch: texts come in batches, so this bounds a Python worker's memory.
 BATCH_ROWS = 1000
@@ -50,12 +50,26 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet, and read from there.
+
+    For tables that many steps read: smaller than a checkpoint, and only the columns a
+    step needs are read. The files go when the session ends.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` of the groups that ``links(a, b)`` (long) connect; root: the smallest node.
 
     Alternates between pointing every larger neighbour of a node to the smallest
     one around it, and every node's smaller neighbours to the smallest of them,
-    until nothing changes: the rounds grow with the logarithm of the longest path.
+    until every group is a star: the rounds grow with the logarithm of the longest path.
     Nodes without a link to another node are left out. Nulls link nothing.
     """
 
@@ -64,27 +78,27 @@ def components(links: DataFrame) -> DataFrame:
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         return pairs.join(least, "u")
 
-    def state(pairs: DataFrame) -> tuple:
-        # a sum of hashes within the range of long: bits are cut before summing
-        return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 30) - 1)))).first())
+    def are_stars(pairs: DataFrame) -> bool:
+        """Whether every node points to one node at most, and none that is pointed to points on."""
+        ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+            pairs.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+        )
+        seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+        return seen.filter("`out` > 1 OR (`out` = 1 AND `in` = 1)").isEmpty()
 
-    pairs = cut(
+    pairs = stored(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    now = state(pairs)
-    while now[0]:
+    while not are_stars(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = smallest(large)
-        nxt = cut(
+        pairs = stored(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
             .filter("u <> v")
             .distinct()
         )
-        before, now, pairs = now, state(nxt), nxt
-        if before == now:
-            break
     roots = pairs.select("v").distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("root"))

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.llm.common import bounded_batches, components, fresh, texts
-from hearthline.sources.scratch import cut
+from hearthline.llm.common import bounded_batches, components, fresh, stored, texts
 
 WORDS = 3
 SEED = 42
@@ -64,26 +63,32 @@ class Tree:
 
     def __init__(self, radius: int):
         self.radius, self.values, self.children, self.parent = radius, [], [], []
+        self.sets = 0
 
     def root(self, k: int) -> int:
+        """The first node of the set of k."""
         while self.parent[k] != k:
             self.parent[k] = self.parent[self.parent[k]]
             k = self.parent[k]
         return k
 
-    def near(self, value: int) -> dict[int, int]:
-        """Of each joined set with a value within the radius: its root and one such node."""
-        found, todo = {}, [0] if self.values else []
-        while todo:
+    def near(self, value: int, accepts=None) -> list[int]:
+        """The first nodes of the joined sets that hold a value within the radius.
+
+        ``accepts``: a further test of a node. The search ends once every set is found.
+        """
+        found: set[int] = set()
+        todo = [0] if self.values else []
+        while todo and len(found) < self.sets:
             k = todo.pop()
             distance = (self.values[k] ^ value).bit_count()
-            if distance <= self.radius:
-                found.setdefault(self.root(k), k)
+            if distance <= self.radius and self.root(k) not in found and (accepts is None or accepts(k)):
+                found.add(self.root(k))
             low, high = distance - self.radius, distance + self.radius
             todo += [child for edge, child in self.children[k].items() if low <= edge <= high]
-        return found
+        return sorted(found)
 
-    def add(self, value: int, found: dict[int, int]) -> None:
+    def add(self, value: int, found: list[int]) -> None:
         """Put in a new value that ``near`` found these sets for, and join them."""
         k = len(self.values)
         if k:
@@ -93,9 +98,10 @@ class Tree:
             self.children[at][edge] = k
         self.values.append(value)
         self.children.append({})
-        self.parent.append(k)
-        for root in found:
-            self.parent[root] = k
+        self.parent.append(found[0] if found else k)
+        for root in found[1:]:
+            self.parent[root] = found[0]
+        self.sets += 1 - len(found)
 
 
 def block_keys(fp: str = "fp") -> F.Column:
@@ -122,7 +128,7 @@ def _link_shards(radius: int):
                     shard, tree = (key, part), Tree(radius)
                 value = fp & 0xFFFFFFFFFFFFFFFF
                 found = tree.near(value)
-                for k in found.values():
+                for k in found:
                     left.append(fp)
                     right.append(tree.values[k])
                 if not visits:
@@ -136,8 +142,9 @@ def _link_shards(radius: int):
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """Links ``(a, b)`` that connect just the fingerprints that pairs within ``radius`` connect.
 
-    ``fps(fp)``: distinct signed longs, cheap to read twice. In each tree one link is kept
-    per set that a fingerprint joins, so links are fewer than ten times the fingerprints.
+    ``fps(fp)``: distinct signed longs, cheap to read twice. In each tree a fingerprint is
+    linked to the first one of each set it joins: links are fewer than ten times the
+    fingerprints, and make almost stars.
     """
     if radius > RADIUS:
         raise ValueError(f"the block keys are complete up to radius {RADIUS}")
@@ -168,7 +175,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in batch], np.uint64).view(np.int64))
 
-    return cut(texts(docs).select("doc_id", of("text").alias("fp")))
+    return stored(texts(docs).select("doc_id", of("text").alias("fp")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -179,7 +186,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids don't count for it. Other columns of docs are not read.
     """
     prints = fingerprints(docs)
-    fps = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(fingerprint_links(fps.select("fp")))
     grouped = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
@@ -203,9 +210,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in batch], np.uint64).view(np.int64))
 
-    prints = cut(texts(docs).select("doc_id", F.xxhash64("text").alias("h"), of("text").alias("fp")))
+    prints = stored(texts(docs).select("doc_id", F.xxhash64("text").alias("h"), of("text").alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("first")
-    fps = cut(prints.groupBy("fp").agg(first))
+    fps = stored(prints.groupBy("fp").agg(first))
     roots = components(fingerprint_links(fps.select("fp")))
     grouped = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     kept = grouped.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
