@@ -94,6 +94,20 @@ def f7(view: Views) -> DataFrame:
     return view("documents").select("doc_id", megabytes(F.octet_length("text") * 1000).alias("mb"))
 
 
+def e3(view: Views) -> DataFrame:
+    """The report's three parts, one row each: rows, and the sum that each part is about."""
+    from hearthline.plans.jobs import report
+
+    parts = report(view("v_held"), view("v_held_sold"), view("v_session"))
+    runs = parts.runs.agg(F.sum("session_count").alias("rows"), F.sum("total_processed").cast("double").alias("figure"))
+    told = runs.select(F.lit("runs").alias("part"), "rows", "figure")
+    for name, stated in (("active", parts.active), ("sold", parts.sold)):
+        told = told.unionByName(
+            stated.select(F.lit(name).alias("part"), F.col("total_count").alias("rows"), F.round("avg_price", 4).alias("figure"))
+        )
+    return told
+
+
 def _sorted(view: Views) -> DataFrame:
     return search.active_page(_first_hits(view), "daysForSale-a", page=3).select("id", "days_for_sale", "price")
 
@@ -149,6 +163,17 @@ BINDINGS = {
     ),
     "q12_sold_city": _sold("city = 'NATION_7'", city="NATION_7"),
     "q12_sold_zip": _sold("zip_code = 2165", zipCode=2165),
+    "e3_report": (
+        bound(e3),
+        sql(
+            """SELECT 'active' AS part, count(*) AS rows, round(avg(price), 4) AS figure FROM v_held
+               UNION ALL SELECT 'sold', count(*), round(avg(price), 4) FROM v_held_sold
+               UNION ALL SELECT 'runs', count(*), CAST(sum(records_processed) AS DOUBLE) FROM v_session""",
+            "v_held",
+            "v_held_sold",
+            "v_session",
+        ),
+    ),
     "t2_active_page": (
         bound(_sorted),
         sql(

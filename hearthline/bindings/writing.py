@@ -67,6 +67,11 @@ def w3_not_found(view: Views) -> DataFrame:
     return merge.delete_keys(shapes.active_table(view), _gone(view), "id").not_found
 
 
+def w3_sold(view: Views) -> DataFrame:
+    gone = view("v_sold").filter(F.col("property_type") == 1).select("estate_id")
+    return merge.delete_keys(shapes.sold_table(view), gone, "estate_id").table
+
+
 def _appended(view: Views) -> merge.Written:
     """Later sightings in batches of two: most batches contest a home."""
     rows = append.number_batches(shapes.after(view("v_active")), (*ORDER, "id"), 2)
@@ -238,6 +243,15 @@ BINDINGS = {
             **ACTIVE_SQL,
         ),
     ),
+    "w3_delete_sold": (
+        bound(w3_sold),
+        sql(
+            "SELECT * FROM old WHERE estate_id NOT IN (SELECT estate_id FROM v_sold WHERE property_type = 1)",
+            "v_sold",
+            "v_held_sold",
+            **shapes.tables_sql(SOLD),
+        ),
+    ),
     "w3_not_found": (
         bound(w3_not_found),
         sql(
