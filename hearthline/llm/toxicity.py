@@ -32,6 +32,8 @@ TRAIN_BYTES = 30_000
 #: Standard errors by which a term must be commoner in toxic documents.
 Z = 6.0
 LEXICON = 2000
+#: Share of toxic texts that hold a term whose misspellings are looked for.
+COMMON = 0.1
 STEMS = range(4, 13)
 WINDOW = 10
 FEATURES = 7
@@ -55,11 +57,15 @@ class Term:
     text: str
     stem: bool
     lift: float
+    common: bool = True
 
     @property
     def edits(self) -> int:
-        """How many edits away the term is still recognised; stems must begin the word."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        """How many edits away the term is still recognised; stems must begin the word.
+
+        What looks like a term that few toxic texts hold is mostly another word.
+        """
+        return 0 if self.stem or not self.common or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
 
 class Lexicon:
@@ -218,14 +224,20 @@ def learn_terms(rows: list[tuple[str, int]]) -> list[Term]:
         if z >= Z and p1 > 2 * p0:
             found.append((z, len(t), t))
     kept: list[str] = []
+    kin: dict[str, list[str]] = {}
     for _, _, t in sorted(found, key=lambda x: (-round(x[0], 1), -x[1], x[2])):
-        alike = (k for k in kept if t.startswith(k) or k.startswith(t))  # hardly more or fewer texts: the same term
-        if len(kept) < LEXICON and not any(0.9 * toxic[k] <= toxic[t] <= toxic[k] / 0.9 for k in alike):
+        alike = kin.get(t[: STEMS[0]], [])  # with hardly more or fewer texts: the same term
+        same = (k for k in alike if t.startswith(k) or k.startswith(t))
+        if len(kept) < LEXICON and not any(0.9 * toxic[k] <= toxic[t] <= toxic[k] / 0.9 for k in same):
             kept.append(t)
+            kin.setdefault(t[: STEMS[0]], []).append(t)
     lift = {t: math.log((toxic[t] + 0.5) / n[1] / ((clean[t] + 0.5) / n[0])) for t in kept}
     stems = {t for t in kept if whole[t] < 0.8 * toxic[t]}
     # what extends a stem is recognised by that stem, so it needs no misspellings
-    return [Term(t, t in stems or any(t.startswith(k) for k in stems), lift[t]) for t in sorted(kept)]
+    return [
+        Term(t, t in stems or any(t[:k] in stems for k in STEMS if k < len(t)), lift[t], toxic[t] >= COMMON * n[1])
+        for t in sorted(kept)
+    ]
 
 
 def learn(rows: list[tuple[str, int]]) -> Model:
