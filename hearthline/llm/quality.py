@@ -116,7 +116,7 @@ def learn(rows: list[tuple[str, int]], seed: int = 7) -> Network:
         return Network(params["tables"], params["repeat"], params["bias"], params["dense"], float(params["out"][0]))
     raws = [np.frombuffer(t.encode(), np.uint8) for t, _ in rows]
     planes = [np.concatenate([repeats(r), [0]]).astype(np.float32) for r in raws]
-    padded = [np.concatenate([r, np.full(CHUNK + WIDTH, 256)]).astype(np.intp) for r in raws]
+    padded = [np.concatenate([r, np.full(CHUNK + WIDTH, 256)]).astype(np.int16) for r in raws]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) ** 0.5
     t = 0
