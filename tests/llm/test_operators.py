@@ -210,6 +210,12 @@ def test_line_dedup_odd_cases(spark):
     assert kept.columns == frame(spark, []).columns and kept.count() == len(odd())
 
 
+def test_rows_of_numbers_stay(spark):
+    rows = [(1, "2021-03-04 17.5\n1999-12-31 42.0\n+5 -3\n-8 +1"), (2, "2021-03-04  17.5\n10:45 7%\nA line, of words!"), (3, "a line of words")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "10:45 7%\nA line, of words!", 3: ""}
+
+
 # ---- licences ----------------------------------------------------------------------------------
 
 
