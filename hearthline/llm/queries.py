@@ -20,7 +20,7 @@ from hearthline.llm.common import table
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return line_dedup.dedup_lines(table(spark, folder, "documents"), wide=True)
 
 
 def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:

@@ -210,6 +210,44 @@ def test_line_dedup_odd_cases(spark):
     assert kept.columns == frame(spark, []).columns and kept.count() == len(odd())
 
 
+def changed_lines():
+    """Lines by id, each with a changed one at edit similarity 0.8 or more under id + 1000."""
+    chosen, rows = random.Random(11), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = lambda: "".join(chosen.choice(letters) for _ in range(chosen.randint(2, 9)))
+    for k in range(400):
+        words = [made() for _ in range((1, 3, 8, 12, 20, 30, 60)[k % 7])]
+        line = " ".join(words)
+        while True:
+            if k % 2 and len(words) > 5:
+                new = list(words)
+                for at in chosen.sample(range(len(words)), max(1, len(words) // chosen.choice((6, 10, 20)))):
+                    new[at] = made()
+                other = " ".join(new)
+            else:
+                other = list(line)
+                for _ in range(max(1, len(line) // chosen.choice((8, 10, 20, 30)))):
+                    other[chosen.randrange(len(other))] = chosen.choice(letters)
+                other = "".join(other)
+            if other != line and (line_dedup.alike(line, other) or len(line) < 5):
+                break
+        if line_dedup.alike(line, other):
+            rows += [(k, line), (1000 + k, other)]
+    return rows
+
+
+def test_wide_search_against_edit_similarity_alone(spark):
+    rows = changed_lines()
+    drops = {r["doc_id"] for r in line_dedup.repeated_lines(frame(spark, rows), wide=True).collect()}
+    lines = [(i, line_dedup.normalised(t)[0].decode()) for i, t in sorted(rows)]
+    want = set()
+    for k, (i, t) in enumerate(lines):
+        if any(line_dedup.alike(t, u) for _, u in lines[:k]):
+            want.add(i)
+    assert drops <= want and len(drops) >= 0.95 * len(want), (len(drops), len(want))
+    print("wide search finds", len(drops), "of", len(want))
+
+
 def test_rows_of_numbers_stay(spark):
     rows = [(1, "2021-03-04 17.5\n1999-12-31 42.0\n+5 -3\n-8 +1"), (2, "2021-03-04  17.5\n10:45 7%\nA line, of words!"), (3, "a line of words")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
