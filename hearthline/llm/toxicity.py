@@ -32,8 +32,6 @@ TRAIN_BYTES = 30_000
 #: Standard errors by which a term must be commoner in toxic documents.
 Z = 6.0
 LEXICON = 2000
-#: Share of toxic texts that hold a term whose misspellings are looked for.
-COMMON = 0.1
 STEMS = range(4, 13)
 WINDOW = 10
 FEATURES = 7
@@ -57,40 +55,62 @@ class Term:
     text: str
     stem: bool
     lift: float
-    common: bool = True
 
     @property
     def edits(self) -> int:
-        """How many edits away the term is still recognised; stems must begin the word.
+        """How many edits away the term is still recognised; stems must begin the word."""
+        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
-        What looks like a term that few toxic texts hold is mostly another word.
-        """
-        return 0 if self.stem or not self.common or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+
+def shortened(word: str, k: int) -> set[str]:
+    """The word and what is left of it without up to k of its characters."""
+    out = last = {word}
+    for _ in range(k):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
 
 
 class Lexicon:
     """A trie of the terms, searched exactly for stems and by an automaton for words.
 
-    Of a term with k allowed edits one of k + 1 segments stays whole in every misspelling,
-    so the automaton runs only for words that hold some segment.
+    Two words within k edits are equal after up to k characters of each are left out, and of
+    a term with k allowed edits one of k + 1 segments stays whole, at most k places away. The
+    automaton runs only for words for which both hold for some term.
     """
 
     def __init__(self, terms: list[Term]):
         self.exact = {t.text: t for t in terms}
         self.stems = sorted({len(t.text) for t in terms if t.stem}, reverse=True)
         self.root: tuple[dict, list] = ({}, [])  # children by character, terms that end here
-        segments, lengths = set(), set()
+        self.short: dict[int, set[str]] = {}  # by allowed edits: what misspellings can be cut to
+        self.lengths: dict[int, set[int]] = {}
+        self.segments: dict[int, dict[tuple[int, int], set[str]]] = {}  # by place and length, too
         for term in terms:
             if term.edits:
                 node, n, k = self.root, len(term.text), term.edits
                 for c in term.text:
                     node = node[0].setdefault(c, ({}, []))
                 node[1].append(term)
-                segments |= {term.text[n * i // (k + 1) : n * (i + 1) // (k + 1)] for i in range(k + 1)}
-                lengths |= set(range(n - k, n + k + 1))
-        self.lengths = lengths
+                self.short.setdefault(k, set()).update(shortened(term.text, k))
+                self.lengths.setdefault(k, set()).update(range(n - k, n + k + 1))
+                for i in range(k + 1):
+                    a, b = n * i // (k + 1), n * (i + 1) // (k + 1)
+                    for at in range(max(0, a - k), a + k + 1):
+                        self.segments.setdefault(k, {}).setdefault((at, at + b - a), set()).add(term.text[a:b])
         self.edits = max((t.edits for t in terms), default=0)
-        self.segments = re.compile("|".join(map(re.escape, sorted(segments)))).search if segments else None
+
+    def near(self, word: str) -> bool:
+        """Whether the word can be a misspelling of a term; true for all that are."""
+        for k, lengths in self.lengths.items():
+            if len(word) not in lengths:
+                continue
+            for (a, b), parts in self.segments[k].items():
+                if word[a:b] in parts:
+                    if not self.short[k].isdisjoint(shortened(word, k)):
+                        return True
+                    break
+        return False
 
     def search(self, word: str) -> tuple[int, int, float] | None:
         """(0 for a stem or 1 for a word, edits, lift) of the nearest term; None without one."""
@@ -102,7 +122,7 @@ class Lexicon:
             term = self.exact.get(word[:n])
             if term and term.stem and (stem is None or term.lift > stem[2]):
                 stem = (0, 0, term.lift)
-        if stem or len(word) not in self.lengths or not self.segments(word):
+        if stem or not self.near(word):
             return stem
         return self.misspelled(word)
 
@@ -233,11 +253,7 @@ def learn_terms(rows: list[tuple[str, int]]) -> list[Term]:
             kin.setdefault(t[: STEMS[0]], []).append(t)
     lift = {t: math.log((toxic[t] + 0.5) / n[1] / ((clean[t] + 0.5) / n[0])) for t in kept}
     stems = {t for t in kept if whole[t] < 0.8 * toxic[t]}
-    # what extends a stem is recognised by that stem, so it needs no misspellings
-    return [
-        Term(t, t in stems or any(t[:k] in stems for k in STEMS if k < len(t)), lift[t], toxic[t] >= COMMON * n[1])
-        for t in sorted(kept)
-    ]
+    return [Term(t, t in stems, lift[t]) for t in sorted(kept)]
 
 
 def learn(rows: list[tuple[str, int]]) -> Model:

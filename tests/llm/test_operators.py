@@ -538,6 +538,19 @@ def test_automata_equal_edit_distance():
         assert (found[1] if found else None) == min(near, default=None)
 
 
+def test_misspelt_rare_terms_and_extended_stems_are_found():
+    rows = [(f"{prose(k, 20)} {'idiot' if k % 2 else prose(k, 1)}", k % 2) for k in range(800)]
+    endings = ("ing", "ed", "er", "able", "ish", "ous", "ic", "al")
+    # a word that one in twenty toxic texts holds, and one that extends a stem
+    rows = [(t + (" preposterous" if y and k % 40 == 1 else ""), y) for k, (t, y) in enumerate(rows)]
+    rows = [(t + (" moronic" if k % 6 == 1 else f" moron{endings[k % 8]}x" if y else ""), y) for k, (t, y) in enumerate(rows)]
+    terms = {t.text: t for t in toxicity.learn_terms(rows * 3)}
+    lexicon = toxicity.Lexicon(list(terms.values()))
+    assert not terms["preposterous"].stem and lexicon.search("prepostreous") is not None
+    assert any(t.stem and "moronic".startswith(t.text) for t in terms.values()) and not terms["moronic"].stem
+    assert lexicon.search("mqronic") is not None and lexicon.search("sunshine") is None
+
+
 def test_quotation_counts_less():
     lexicon = toxicity.Lexicon([toxicity.Term("idiot", False, 5.0), toxicity.Term("moron", False, 5.0)])
     abuse = toxicity.features("you idiot and moron, go away", {}, lexicon)
