@@ -47,7 +47,9 @@ REPORTING = frozenset(
 )
 
 _WORD = re.compile(r"[^\W_]+")
-_QUOTES = re.compile(r"\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“”\n]{1,400}[“”]|^[ \t]*>[^\n]*", re.M)
+#: Quotation marks, quoted lines, and blank lines, which end a paragraph.
+_MARKS = re.compile(r"[\"“”«»„]|^[ \t]*>[^\n]*|\n[ \t\r]*(?=\n)", re.M)
+_CLOSES = {'"': '"', "“": "”", "«": "»", "„": "“”"}
 
 
 @dataclass(frozen=True)
@@ -157,6 +159,33 @@ class Lexicon:
         return best
 
 
+def quoted_spans(text: str) -> list[tuple[int, int]]:
+    """Quotations of any length within a paragraph, and quoted lines, in order.
+
+    A straight mark after a space and before none only opens; after none and before one it
+    only closes. An opening mark without its closing one quotes nothing.
+    """
+    spans, opened, kind = [], -1, ""
+    for m in _MARKS.finditer(text):
+        mark, at = m[0], m.start()
+        if len(mark) > 1 or mark in ">\n":
+            opened = -1
+            if mark[0] != "\n":
+                spans.append(m.span())
+            continue
+        opens, closes = mark in _CLOSES, opened >= 0 and mark in _CLOSES[kind]
+        if mark == '"':
+            before, after = text[at - 1 : at], text[at + 1 : at + 2]
+            left, right = not before or before.isspace(), not after or after.isspace()
+            opens, closes = opens and not (right and not left), closes and not (left and not right)
+        if closes:
+            spans.append((opened, m.end()))
+            opened = -1
+        elif opens and (opened < 0 or mark == kind):
+            opened, kind = at, mark
+    return spans
+
+
 def features(text: str, hits: dict[str, tuple[int, int, float] | None], lexicon: Lexicon) -> list[float]:
     """Sums over the hits of a whole text; all zero without any. ``hits`` remembers words."""
     low = text.lower()
@@ -170,7 +199,7 @@ def features(text: str, hits: dict[str, tuple[int, int, float] | None], lexicon:
     if not at:
         return [0.0] * FEATURES
     places = [m.start() for m in _WORD.finditer(low)]
-    quoted = [m.span() for m in _QUOTES.finditer(low)]
+    quoted = quoted_spans(low)
     exact = fuzzy = stems = lifts = closest = 0.0
     kinds: dict[str, float] = {}
     q, left = 0, 0

@@ -559,6 +559,20 @@ def test_quotation_counts_less():
     assert toxicity.features("idoit moorn idiot", {}, lexicon)[0] > 0 and toxicity.features("", {}, lexicon) == [0.0] * 7
 
 
+def test_long_quotations_and_abuse_between_two():
+    lexicon = toxicity.Lexicon([toxicity.Term("idiot", False, 5.0)])
+    hit = lambda text: toxicity.features(text, {}, lexicon)[0]
+    plain, quoted = np.log1p(1), np.log1p(toxicity.QUOTED)
+    filler = prose(4, 80)
+    assert len(filler) > 400
+    for a, b in ('""', "“”", "«»", "„“"):
+        assert hit(f"{a}{filler} idiot {filler}{b} is rude") == quoted
+        assert hit(f"{a}{filler}\nidiot {filler}{b} is rude") == quoted  # over a line end
+        assert hit(f"{a}{filler}{b} you idiot, go away, {a}bye{b}.") == plain
+        assert hit(f"{a}{filler}\n\nyou idiot, go away, {a}bye{b}.") == plain  # never closed
+    assert hit('a 5" pipe, you idiot, and a 7" one') == plain and hit("> idiot\nbye") == quoted
+
+
 def labelled(spark):
     rows, labels = [], []
     for k in range(600):
