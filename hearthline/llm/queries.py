@@ -13,8 +13,10 @@ from hearthline.llm import (
     packing,
     quality,
     secrets_ledger,
+    structure_repair,
     token_counts,
     toxicity,
+    whitening,
 )
 from hearthline.llm.common import table
 
@@ -59,6 +61,14 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return structure_repair.structure_repair(table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_licenses": op2_licenses,
@@ -70,5 +80,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_whitening": op13_whitening,
 }
 ORACLES = {"op2_licenses": licenses.oracle(), "op7_secrets": secrets_ledger.oracle()}
