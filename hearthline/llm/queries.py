@@ -9,6 +9,7 @@ from hearthline.llm import (
     digests,
     licenses,
     line_dedup,
+    near_minhash,
     near_simhash,
     packing,
     quality,
@@ -61,6 +62,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
     return structure_repair.structure_repair(table(spark, folder, "conversations"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_minhash": op11_minhash,
     "op12_structure_repair": op12_structure_repair,
     "op13_whitening": op13_whitening,
 }
