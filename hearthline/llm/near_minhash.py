@@ -44,8 +44,10 @@ RECALL = 0.9999
 #: threshold has 54.4 on average, and fewer than this once in 30,000.
 AGREE = 42
 #: A node is small up to so many documents and shingles, which bounds one comparison's memory.
-LEAF = 256
+LEAF = 2048
 LEAF_SHINGLES = 1_000_000
+#: Documents of a block in which a node that does not shrink is compared.
+PART = 512
 #: Documents drawn from a large node to find its most common tokens.
 DRAWN = 64
 #: A large node whose documents share this part of those tokens on average does not shrink.
@@ -367,7 +369,7 @@ def _branched(rows: DataFrame, trees: int, leaf: int, shingle_limit: int) -> tup
         facts = scored.groupBy("node").agg(F.avg("score").alias("alike"), F.max_by("doc", "score").alias("medoid"))
         facts = facts.withColumn("dense", (F.col("alike") >= DENSE * TOKENS) | F.lit(level >= DEEPEST))
         facts = sized(stored(facts.select("node", "medoid", "dense")))
-        parts = F.ceil(F.greatest(F.col("docs") / leaf, F.col("shingles") / shingle_limit)).cast("int").alias("parts")
+        parts = F.ceil(F.greatest(F.col("docs") / min(PART, leaf), F.col("shingles") / shingle_limit)).cast("int").alias("parts")
         dense.append(big.join(facts.filter("dense"), "node").select("node", "doc", "n", "medoid", parts))
         others = big.join(facts.filter("dense").select("node"), "node", "left_anti")
         grown = others.select(F.explode(_children(level)("node", "tree", "sig")).alias("node"), "tree", "doc", "n")
@@ -419,7 +421,7 @@ def set_links(docs: DataFrame, rows: DataFrame, trees: int, leaf: int, shingle_l
     # what is left over meets everything of its node, part by part
     left = told.filter("NOT is_joined")
     counts = left.groupBy("node").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
-    rounds = F.ceil(F.greatest(F.col("docs") / leaf, F.col("shingles") / shingle_limit)).cast("int").alias("rounds")
+    rounds = F.ceil(F.greatest(F.col("docs") / min(PART, leaf), F.col("shingles") / shingle_limit)).cast("int").alias("rounds")
     counts = sized(stored(counts.select("node", rounds)))
     block = F.xxhash64("node", "own", "round").alias("part")
     active = (
