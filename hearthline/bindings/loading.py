@@ -11,6 +11,7 @@ from hearthline.functions.dates import iso_timestamp
 from hearthline.functions.scalars import type_name
 from hearthline.operators import append, mapping, rules, stats
 from hearthline.operators.history import version_history
+from hearthline.plans import jobs
 from hearthline.plans.feeds import ACTIVE, SOLD
 from hearthline.plans.jobs import quick_load
 from hearthline.sources import pages, store
@@ -255,6 +256,60 @@ P3_SQL = sql(
 )
 
 
+#: Written out: the keys a home for sale cannot do without, here each left out of some records.
+LEFT_OUT = ("id", "price", "size", "city", "zip_code", "street")
+#: A sighting as a record under table column names. Some lack one required key, and some hold a null under price.
+_SNAKE = "concat('{\"rooms\":', rooms, " + ", ".join(
+    f"CASE WHEN o2 % 40 = {k} THEN '' ELSE concat(',\"{c}\":', {value}) END"
+    for k, (c, value) in enumerate(
+        {
+            "id": "id", "price": "coalesce(CAST(price AS STRING), 'null')", "size": "size", "city": "concat('\"', city, '\"')",
+            "zip_code": "zip_code", "street": "concat('\"', street, '\"')",
+        }.items()
+    )
+) + ", CASE WHEN o2 % 3 = 0 THEN ',\"version\":5,\"scraped_at\":\"2020-02-03T04:05:06\"' ELSE '' END, '}')"
+
+
+def _snake_items(view: Views) -> DataFrame:
+    return view("v_active").selectExpr("scraped_at AS hit_time", "o1", "o2", "o3", f"parse_json({_SNAKE}) AS item")
+
+
+_HIT = ("hit_time", "o1", "o2", "o3")
+
+
+def p3_failed(view: Views) -> DataFrame:
+    """Records by the required keys they lack."""
+    given = mapping.snake_records(_snake_items(view), ACTIVE.schema, ACTIVE.required, AS_OF)
+    lost = given.filter("size(missing) > 0").select(F.array_join("missing", ",").alias("missing"))
+    return lost.groupBy("missing").agg(F.count(F.lit(1)).alias("failed_records"))
+
+
+def p3_records(view: Views) -> DataFrame:
+    """The complete records as rows."""
+    given = mapping.snake_records(_snake_items(view), ACTIVE.schema, ACTIVE.required, AS_OF, *_HIT)
+    return given.filter("size(missing) = 0").drop("missing")
+
+
+def p3_stats(view: Views) -> DataFrame:
+    """Records brought one by one over the table of the early sightings, failures counted."""
+    return jobs.load_records(_snake_items(view), shapes.active_table(view), ACTIVE, AS_OF, _HIT).stats
+
+
+_MISSING = "CASE o2 % 40 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(LEFT_OUT)) + " ELSE '' END"
+P3_ROWS = {
+    "told": f"SELECT *, {_MISSING} AS missing FROM v_active",
+    "snake": f"""SELECT id, price, rooms, size, CAST(NULL AS INT) AS lot_size, CAST(NULL AS INT) AS build_year,
+                   CAST(NULL AS VARCHAR) AS energy_class, city, zip_code, street, CAST(NULL AS DOUBLE) AS latitude,
+                   CAST(NULL AS DOUBLE) AS longitude, CAST(NULL AS INT) AS days_for_sale, CAST(NULL AS TIMESTAMP) AS created_date,
+                   CAST(NULL AS INT) AS property_type,
+                   CASE WHEN o2 % 3 = 0 THEN TIMESTAMP '2020-02-03 04:05:06' ELSE TIMESTAMP '{AS_OF}' END AS scraped_at,
+                   TIMESTAMP '{AS_OF}' AS updated_at, CASE WHEN o2 % 3 = 0 THEN 5 ELSE 1 END AS version,
+                   scraped_at AS hit_time, o1, o2, o3
+                 FROM told WHERE missing = ''""",
+    "held_snake": "SELECT * FROM snake WHERE price > 0 AND rooms >= 0 AND size > 0 AND zip_code BETWEEN 1000 AND 9999",
+}
+
+
 def p4(view: Views) -> DataFrame:
     return mapping.cleaned(shapes.listing_items(view), ACTIVE.fields, *ORDER)
 
@@ -382,6 +437,24 @@ BINDINGS = {
     "p1_map_active": (bound(p1), P1_SQL),
     "p2_map_sold": (bound(p2), sql(f"SELECT {SALE_ROW}, 1 AS version FROM v_sale", "v_sale")),
     "p3_from_snake": (bound(p3), P3_SQL),
+    "p3_failed_records": (
+        bound(p3_failed),
+        sql("SELECT missing, count(*) AS failed_records FROM told WHERE missing <> '' GROUP BY missing", "v_active", **P3_ROWS),
+    ),
+    "p3_snake_records": (bound(p3_records), sql("SELECT * FROM snake", "v_active", **P3_ROWS)),
+    "p3_load_stats": (
+        bound(p3_stats),
+        sql(
+            """SELECT (SELECT count(*) FROM v_active) AS total, inserted, held - inserted AS updated,
+                      (SELECT count(*) FROM v_active) - held AS failed
+               FROM (SELECT count(*) AS held, count(DISTINCT s.id) FILTER (WHERE t.id IS NULL) AS inserted
+                     FROM held_snake s LEFT JOIN old t ON t.id = s.id)""",
+            "v_active",
+            "v_held",
+            **shapes.tables_sql(ACTIVE),
+            **P3_ROWS,
+        ),
+    ),
     "p4_cleaned": (bound(p4), P4_SQL),
     "p5_type_name": (
         bound(p5),

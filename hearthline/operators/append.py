@@ -7,20 +7,23 @@ that an earlier batch put in.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import TYPE_CHECKING
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.operators.merge import Written
 from hearthline.operators.ordered import ordered
-from hearthline.sources.scratch import cut
+from hearthline.sources.scratch import kept, shared_folder
 
 if TYPE_CHECKING:
     from hearthline.plans.feeds import Feed
 
 BATCH_SIZE = 1000
+#: Contested pairs of batch and key that one task settles in order.
+BLOCK = 200_000
 
 
 def number_batches(rows: DataFrame, order: Sequence[str], batch_size: int = BATCH_SIZE, **tuning) -> DataFrame:
@@ -47,28 +50,66 @@ def _failed_batches(table: DataFrame, rows: DataFrame, feed: Feed) -> DataFrame:
     return failed.unionByName(_losers(contested, key))
 
 
-def _losers(contested: DataFrame, key: str) -> DataFrame:
+def _settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches of a block, in order: each enters if none of its keys is taken yet.
+
+    The last batch may lie partly outside the block: it is left open if the block is full.
+    """
+    taken: set = set()
+    entered: list[tuple[int, bool]] = []
+    batch, keys, seen = None, [], 0
+
+    def close() -> None:
+        goes_in = taken.isdisjoint(keys)
+        if goes_in:
+            taken.update(keys)
+        entered.append((batch, goes_in))
+
+    for frame in frames:
+        for number, key in zip(frame["batch"].tolist(), frame["key"].tolist()):
+            if number != batch:
+                if batch is not None:
+                    close()
+                batch, keys = number, []
+            keys.append(key)
+            seen += 1
+        limit = int(frame["most"].iat[0]) if len(frame) else 0
+    if batch is not None and seen < limit:
+        close()
+    yield pd.DataFrame(entered, columns=["batch", "enters"])
+
+
+def _losers(contested: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
     """Batches that lose a contested key to an earlier batch that goes in.
 
-    A batch that is first on all its keys goes in, and whoever shares a key with
-    it is out; the rest is looked at again. Every round settles all such batches
-    at once, so the rounds follow the longest chain of batches waiting for each
-    other, not the number of batches.
+    Each round settles the first ``block`` pairs of batch and key, along the batch order, in
+    one task, and everywhere else the batches that are first on all their keys. Whoever
+    shares a key with one that enters is out; only pairs still contested are carried on.
+    So there are at most as many rounds as blocks of pairs, however the batches wait for
+    each other, and usually one.
     """
-    open_pairs = cut(contested)
-    losers = open_pairs.select("batch").limit(0)
-    while not open_pairs.isEmpty():
-        first = open_pairs.groupBy(key).agg(F.min("batch").alias("_first"))
-        ranked = open_pairs.join(first, key)
-        entering = ranked.groupBy("batch").agg(F.bool_and(F.col("batch") == F.col("_first")).alias("_in"))
-        winners = entering.filter("_in").select("batch")
-        settled = ranked.join(winners.withColumnRenamed("batch", "_first"), "_first", "left_semi")
-        out = cut(settled.filter(F.col("batch") != F.col("_first")).select("batch").distinct())
-        losers = losers.unionByName(out)
-        open_pairs = cut(
-            open_pairs.join(winners, "batch", "left_anti").join(out, "batch", "left_anti")
-        )
-    return losers
+    spark, folder = contested.sparkSession, shared_folder(contested.sparkSession)
+    losers = f"{folder}/losers"
+    spark.createDataFrame([], "batch long").write.parquet(losers)
+    pairs = contested.select(F.col("batch").cast("long").alias("batch"), F.col(key).cast("string").alias("key"))
+    pairs.write.parquet(f"{folder}/open=0")
+    nth = 0
+    while True:
+        open_ = spark.read.schema("batch long, key string").parquet(f"{folder}/open={nth}")
+        if open_.isEmpty():
+            return spark.read.schema("batch long").parquet(losers)
+        first = open_.groupBy("key").agg(F.min("batch").alias("first"))
+        entering = open_.join(first, "key").groupBy("batch").agg(F.bool_and(F.col("batch") == F.col("first")).alias("enters"))
+        near = open_.orderBy("batch", "key").limit(block).coalesce(1).sortWithinPartitions("batch", "key")
+        settled = near.withColumn("most", F.lit(block)).mapInPandas(_settle, "batch long, enters boolean")
+        winners = kept(entering.filter("enters").select("batch").unionByName(settled.filter("enters").select("batch")).distinct())
+        taken = kept(open_.join(winners, "batch", "left_semi").select("key").distinct())
+        out = kept(open_.join(taken, "key", "left_semi").select("batch").distinct().join(winners, "batch", "left_anti"))
+        out.write.mode("append").parquet(losers)
+        rest = open_.join(winners.unionByName(out), "batch", "left_anti")
+        alone = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select("key")
+        nth += 1
+        rest.join(alone, "key", "left_anti").write.parquet(f"{folder}/open={nth}")
 
 
 def bulk_append(table: DataFrame, rows: DataFrame, feed: Feed) -> Written:
@@ -76,7 +117,8 @@ def bulk_append(table: DataFrame, rows: DataFrame, feed: Feed) -> Written:
     table; stats inserted, failed and total.
 
     Runs small jobs at once while batches contest keys, and none otherwise but
-    the check for it.
+    the check for it. Batches that wait for each other in a chain cost no more rounds
+    than others (see :func:`_losers`).
     """
     failed = _failed_batches(table, rows, feed)
     entered = rows.join(failed, "batch", "left_anti")

@@ -103,7 +103,8 @@ def from_snake(
 
     Missing optional columns are NULL, missing metadata is ``as_of`` and version
     1. ``change`` is read for ``change_percent``. A missing required column is an
-    error of the whole frame.
+    error of the whole frame: for records of which some lack a key, see
+    :func:`snake_records`.
     """
     if "change_percent" in schema.names and "change" in rows.columns and "change_percent" not in rows.columns:
         rows = rows.withColumnRenamed("change", "change_percent")
@@ -120,6 +121,41 @@ def from_snake(
     return rows.select(*keep, *columns)
 
 
+def lacking(required: Sequence[str], item: str = "item") -> Column:
+    """The required keys that a record (VARIANT) does not have at all; a null is a value."""
+    absent = [f"CASE WHEN variant_get({item}, '$.{c}', 'variant') IS NULL THEN '{c}' END" for c in required]
+    return F.expr(f"filter(array({', '.join(absent)}), k -> k IS NOT NULL)")
+
+
+def snake_records(
+    items: DataFrame, schema: StructType, required: Sequence[str], as_of: datetime | str | Column, *keep: str
+) -> DataFrame:
+    """Records (VARIANT ``item``) that use table column names, as whole rows of the table, with ``missing``.
+
+    ``missing`` lists the required keys a record lacks: such a record cannot be a row and counts
+    as failed. As in :func:`from_snake`, missing optional keys are NULL, missing metadata is
+    ``as_of`` and version 1, and ``change`` is read for ``change_percent``. What stands under a
+    key but is not of its column's type is NULL.
+    """
+    now = {"scraped_at": ntz(as_of), "updated_at": ntz(as_of), "version": F.lit(1)}
+    columns = []
+    for field in schema:
+        key = "change" if field.name == "change_percent" else field.name
+        kind = field.dataType.simpleString()
+        if kind == "timestamp_ntz":
+            value = F.expr(iso_timestamp(f"try_variant_get(item, '$.{key}', 'string')"))
+        elif kind == "date":
+            text = f"try_variant_get(item, '$.{key}', 'string')"
+            value = F.expr(f"CAST({iso_timestamp(text)} AS DATE)")
+        else:
+            value = F.expr(f"try_variant_get(item, '$.{key}', '{kind}')")
+        if field.name in now:
+            given = F.expr(f"variant_get(item, '$.{key}', 'variant')").isNotNull()
+            value = F.when(given, value).otherwise(now[field.name])
+        columns.append(value.cast(field.dataType).alias(field.name))
+    return items.select(*keep, *columns, lacking(required).alias("missing"))
+
+
 def quick_map(items: DataFrame, as_of: datetime | str | Column, *keep: str) -> DataFrame:
     """The short mapping of a home for sale: eleven fields, city and street
     'Unknown' and zip code 0 where the key is absent (a null stays null)."""

@@ -61,10 +61,19 @@ def upsert(
     Only rows the batch touches are joined to it; all others pass by. A batch small
     enough for Spark to broadcast its keys leaves the table where it lies.
     """
-    folded = fold(batch.filter(feed.storable()), feed, order)
-    keys = folded.select(feed.key)
+    changed = changes(table, batch, feed, order, as_of)
+    keys = batch.filter(feed.storable()).select(feed.key)
     untouched = table.select(*feed.columns).join(keys, feed.key, "left_anti")
-    matching = table.select(*feed.columns).join(keys, feed.key, "left_semi")
+    written = untouched.unionByName(changed.select(*feed.columns))
+    return Written(written, lambda: upsert_stats(table, batch, feed))
+
+
+def changes(
+    table: DataFrame, batch: DataFrame, feed: Feed, order: Sequence[str], as_of: datetime | str | Column
+) -> DataFrame:
+    """Only the rows an upsert writes, one per key, with ``old``: what the table had (NULL for a new key)."""
+    folded = fold(batch.filter(feed.storable()), feed, order)
+    matching = table.select(*feed.columns).join(folded.select(feed.key), feed.key, "left_semi")
     old = matching.selectExpr(feed.key, f"{_struct([*feed.payload, *schemas.METADATA])} AS old")
     touched = folded.join(old, feed.key, "left").withColumn("now", ntz(as_of))
     values = {c: f"last.{c}" for c in feed.payload}
@@ -74,8 +83,13 @@ def upsert(
         "updated_at": "if(old IS NOT NULL OR n > 1, now, first.updated_at)",
         "version": "if(old IS NOT NULL, old.version + n, first.version + n - 1)",
     }
-    written = touched.selectExpr(*[f"{values[c]} AS {c}" for c in feed.columns])
-    return Written(untouched.unionByName(written), lambda: upsert_stats(table, batch, feed))
+    return touched.selectExpr(*[f"{values[c]} AS {c}" for c in feed.columns], "old")
+
+
+def removals(table: DataFrame, keys: DataFrame, feed: Feed) -> DataFrame:
+    """The rows of the table that go with ``keys``, as :func:`changes` gives rows, marked ``gone``."""
+    gone = table.select(*feed.columns).join(keys.select(feed.key), feed.key, "left_semi")
+    return gone.selectExpr(*feed.columns, f"{_struct([*feed.payload, *schemas.METADATA])} AS old", "true AS gone")
 
 
 def upsert_stats(table: DataFrame, batch: DataFrame, feed: Feed) -> DataFrame:
@@ -106,16 +120,17 @@ class Updated:
 def update_existing(table: DataFrame, rows: DataFrame, feed: Feed, order: Sequence[str]) -> Updated:
     """Overwrite known keys: all columns but the key and ``scraped_at``, NULLs too.
 
-    The last row of a key counts; rows the table cannot hold are passed over.
-    ``not_found`` has the keys the table does not know.
+    The last row of a key counts; rows the table cannot hold are passed over. As in
+    :func:`upsert`, rows no update touches pass by. ``not_found`` has the keys the table does not know.
     """
     carried = [c for c in feed.columns if c not in (feed.key, "scraped_at")]
-    last = rows.filter(feed.storable()).groupBy(feed.key).agg(
-        F.expr(f"max_by({_struct(carried)}, {_struct(order)}) AS new")
-    )
-    merged = [f"if(new IS NULL, {c}, new.{c}) AS {c}" if c in carried else c for c in feed.columns]
-    result = table.join(last, feed.key, "left").selectExpr(*merged)
-    return Updated(result, lambda: _not_found(table, rows, feed.key))
+    held = rows.filter(feed.storable())
+    keys = held.select(feed.key)
+    last = held.groupBy(feed.key).agg(F.expr(f"max_by({_struct(carried)}, {_struct(order)}) AS new"))
+    untouched = table.select(*feed.columns).join(keys, feed.key, "left_anti")
+    known = table.select(feed.key, "scraped_at").join(last, feed.key)
+    written = known.selectExpr(*[f"new.{c} AS {c}" if c in carried else c for c in feed.columns])
+    return Updated(untouched.unionByName(written), lambda: _not_found(table, rows, feed.key))
 
 
 def _not_found(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:

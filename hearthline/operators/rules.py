@@ -147,11 +147,12 @@ def error_budget(
     in the group reach ``max_errors``.
 
     ``is_valid`` becomes false for records not examined, and their errors go. Give
-    the ``items`` that were validated to have groups counted without validating twice.
+    the ``items`` that were validated to have groups counted without validating twice,
+    or say ``bounded=True`` where a group is a page, which came as a single value.
     """
     groups = [group] if isinstance(group, str) else list(group)
     counted = running(
-        validated.withColumn("_errors", F.size("errors").cast("long")),
+        validated.withColumn("_errors", F.expr("CAST(size(errors) AS BIGINT)")),
         groups,
         order,
         sums={"_so_far": "_errors"},

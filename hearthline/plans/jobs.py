@@ -43,7 +43,7 @@ def validated_items(
     if max_errors is None or not validate:
         return checked
     page = [c for c in order if c != "pos"]
-    return rules.error_budget(checked, page, ["pos"], max_errors, items)
+    return rules.error_budget(checked, page, ["pos"], max_errors, bounded=True)
 
 
 def ingest(
@@ -76,12 +76,17 @@ def batch_stats(validated: DataFrame, upsert_stats: DataFrame) -> DataFrame:
     return summary.unionByName(stored).agg(*[F.sum(c).alias(c) for c in names])
 
 
-def arrived_stats(arrived: DataFrame, upsert_stats: DataFrame) -> DataFrame:
-    """As :func:`batch_stats`, from stored records that say whether the table took them."""
-    counted = arrived.selectExpr("1L AS processed", "0L AS inserted", "0L AS updated", "if(taken, 0L, 1L) AS failed")
-    stored = upsert_stats.selectExpr("0L AS processed", "inserted", "updated", "0L AS failed")
+def arrived_stats(arrived: DataFrame, delta: DataFrame) -> DataFrame:
+    """As :func:`batch_stats`, from stored records that say whether the table took them, and
+    the stored rows the table changed: neither reads the table."""
+    counted = arrived.selectExpr(
+        "1L AS processed", "0L AS inserted", "if(taken, 1L, 0L) AS updated", "if(taken, 0L, 1L) AS failed"
+    )
+    new = delta.filter("NOT known").selectExpr(
+        "0L AS processed", "1L AS inserted", "-1L AS updated", "0L AS failed"
+    )
     names = ("processed", "inserted", "updated", "failed")
-    return counted.unionByName(stored).agg(*[F.expr(f"coalesce(sum({c}), 0L) AS {c}") for c in names])
+    return counted.unionByName(new).agg(*[F.expr(f"coalesce(sum({c}), 0L) AS {c}") for c in names])
 
 
 def incremental(
@@ -95,6 +100,31 @@ def incremental(
     return Ingest(checked, rows, written.table, batch_stats(checked, written.stats))
 
 
+def load_records(
+    items: DataFrame, table: DataFrame, feed: Feed, as_of: datetime | str, order: Sequence[str]
+) -> merge.Written:
+    """Records (VARIANT) under table column names upserted one by one.
+
+    Stats: total counts every record; failed those that lack a required key and those the
+    table refuses.
+    """
+    from hearthline.operators.mapping import snake_records
+
+    given = snake_records(items, feed.schema, feed.required, as_of, *order)
+    complete = given.filter("size(missing) = 0").drop("missing")
+    written = merge.upsert(table, complete, feed, order, as_of)
+
+    def count() -> DataFrame:
+        lost = given.filter("size(missing) > 0").selectExpr(
+            "1L AS total", "0L AS inserted", "0L AS updated", "1L AS failed"
+        )
+        return written.stats.unionByName(lost).agg(
+            *[F.sum(c).alias(c) for c in ("total", "inserted", "updated", "failed")]
+        )
+
+    return merge.Written(written.table, count)
+
+
 @dataclass(frozen=True)
 class Report:
     active: DataFrame

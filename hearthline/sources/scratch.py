@@ -35,3 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder all executors share, under the checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once, written as Parquet to the shared folder and read from there.
+
+    Smaller than a checkpoint, and its rows are counted from the footers. The files go
+    when the session ends.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hearthline.operators import ordered as module
 from hearthline.operators.ordered import beside_group, hot_groups, ordered
 
 
@@ -29,7 +30,7 @@ def plain(df, groups):
 
 
 @pytest.mark.parametrize("groups", [["k"], []])
-@pytest.mark.parametrize("tuning", [{}, {"hot_rows": 10, "parts": 64}, {"hot_rows": 3, "parts": 4096}])
+@pytest.mark.parametrize("tuning", [{}, {"hot_rows": 10, "parts": 64}, {"hot_rows": 3, "parts": 4096}, {"hot_rows": 3, "parts": 4}])
 def test_equals_a_plain_window(spark, groups, tuning):
     df = skewed(spark)
     got = ordered(
@@ -41,6 +42,24 @@ def test_equals_a_plain_window(spark, groups, tuning):
     assert {tuple(r) for r in got.select("seq", "n", "total", "least", "before", "after").collect()} == want
 
 
+def test_block_tables_are_cut_as_well(spark, monkeypatch):
+    """With no table small enough to broadcast, blocks of blocks give the same."""
+    monkeypatch.setattr(module, "SMALL", 5)
+    df = skewed(spark, 1500)
+    got = ordered(df, ["k"], ["at", "seq"], number="n", sums={"total": "v"}, mins={"least": "v"}, lags={"before": "v"},
+                  leads={"after": "v"}, hot_rows=4, parts=8)
+    want = {tuple(r) for r in plain(df, ["k"]).collect()}
+    assert {tuple(r) for r in got.select("seq", "n", "total", "least", "before", "after").collect()} == want
+
+
+def test_bounded_groups_and_sums_of_doubles(spark):
+    df = skewed(spark, 300)
+    got = ordered(df, ["k"], ["at", "seq"], number="n", bounded=True, hot_rows=3)
+    assert {(r.seq, r.n) for r in got.collect()} == {(r.seq, r.n) for r in plain(df, ["k"]).collect()}
+    with pytest.raises(TypeError, match="decimal"):
+        ordered(df.withColumn("v", F.col("v").cast("double")), ["k"], ["seq"], sums={"total": "v"})
+
+
 def test_hot_groups_are_few(spark):
     df = skewed(spark)
     hot = hot_groups(df, ["k"], 10, 64).collect()
