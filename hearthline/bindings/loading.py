@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from hearthline.bindings import shapes
 from hearthline.bindings.views import AS_OF, ORDER, YEAR, Views, bound, sql
 from hearthline.functions.dates import iso_timestamp
 from hearthline.functions.scalars import type_name
-from hearthline.operators import append, mapping, rules, stats
+from hearthline.operators import append, mapping, merge, rules, stats
 from hearthline.operators.history import version_history
+from hearthline.operators.search import lookup, search_sold
 from hearthline.plans import jobs
 from hearthline.plans.feeds import ACTIVE, SOLD
 from hearthline.plans.jobs import quick_load
@@ -80,8 +83,6 @@ def s7(view: Views) -> DataFrame:
 
 
 def s10(view: Views) -> DataFrame:
-    from hearthline.operators.search import lookup
-
     return lookup(shapes.active_table(view), "id", 42)
 
 
@@ -118,6 +119,57 @@ def s14(view: Views) -> DataFrame:
     return place.read_current(SOLD)
 
 
+def _small_batches(view: Views) -> store.Store:
+    """All sales as the base, then two small batches of changed prices and one of removed sales beside it."""
+    table = view("v_held_sold").select(*SOLD.columns)
+    place = store.Store(table.sparkSession, shared_folder(table.sparkSession))
+    place.write_current(table, SOLD, 0)
+    for batch, (every, more) in enumerate(((97, 1), (89, 10)), 1):
+        rows = view("v_held_sold").filter(F.col("estate_id") % every == 0).withColumn("price", F.col("price") + more)
+        changed = merge.changes(place.read_current(SOLD), rows, SOLD, shapes.SOLD_ORDER, AS_OF)
+        place.write_delta(changed, SOLD, batch)
+        place.finish(SOLD, batch)
+    gone = view("v_held_sold").filter(F.col("estate_id") % 101 == 0).select("estate_id")
+    place.write_delta(merge.removals(place.read_current(SOLD), gone, SOLD), SOLD, 3)
+    place.finish(SOLD, 3)
+    return place
+
+
+def s14_deltas(view: Views) -> DataFrame:
+    return _small_batches(view).read_current(SOLD)
+
+
+def s14_compacted(view: Views) -> DataFrame:
+    place = _small_batches(view)
+    place.compact(SOLD)
+    return place.read_current(SOLD)
+
+
+_CHANGED = [c for c in SOLD.columns if c not in ("price", "version", "updated_at")]
+S14_DELTAS = sql(
+    f"""SELECT {", ".join(_CHANGED)},
+               CAST(price + CASE WHEN estate_id % 89 = 0 THEN 10 WHEN estate_id % 97 = 0 THEN 1 ELSE 0 END AS INT) AS price,
+               CAST(1 + CASE WHEN estate_id % 97 = 0 THEN 1 ELSE 0 END + CASE WHEN estate_id % 89 = 0 THEN 1 ELSE 0 END AS INT) AS version,
+               CASE WHEN estate_id % 97 = 0 OR estate_id % 89 = 0 THEN TIMESTAMP '{AS_OF}' ELSE updated_at END AS updated_at
+        FROM v_held_sold WHERE estate_id % 101 <> 0""",
+    "v_held_sold",
+)
+
+
+def q11_stored(view: Views) -> DataFrame:
+    """A box read from the stored table by the curve over the map, changes beside the base included."""
+    box = {"latitudeMin": 55.0, "latitudeMax": 55.5, "longitudeMin": 9.0, "longitudeMax": 11.0}
+    return search_sold(_small_batches(view).read_current(SOLD, box=box), **box)
+
+
+def s10_stored(view: Views) -> DataFrame:
+    """Keys looked up in the stored table, through the bloom filters of its files."""
+    place = _small_batches(view)
+    table = place.read_current(SOLD)
+    found = [lookup(table, "estate_id", key) for key in (1, 97, 101, 178, 4, 999_999_999)]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _land(frame: DataFrame, folder: str) -> None:
     frame.select(F.col("body").alias("value")).write.mode("append").text(folder)
 
@@ -190,8 +242,6 @@ def n5_stored(view: Views) -> DataFrame:
 
 
 def s10_sold(view: Views) -> DataFrame:
-    from hearthline.operators.search import lookup
-
     return lookup(shapes.sold_table(view), "estate_id", 42)
 
 
@@ -394,6 +444,18 @@ BINDINGS = {
         bound(s13),
         sql(shapes.merged_sql("old", "fresh", ACTIVE, AS_OF), "v_held", "v_listing", **QUICK),
     ),
+    "s14_deltas": (bound(s14_deltas), S14_DELTAS),
+    "s14_compacted": (bound(s14_compacted), S14_DELTAS),
+    "q11_stored_box": (
+        bound(q11_stored),
+        sql(
+            "SELECT * FROM now WHERE latitude BETWEEN 55 AND 55.5 AND longitude BETWEEN 9 AND 11", now=S14_DELTAS,
+        ),
+    ),
+    "s10_stored_lookup": (
+        bound(s10_stored),
+        sql("SELECT * FROM now WHERE estate_id IN (1, 97, 101, 178, 4, 999999999)", now=S14_DELTAS),
+    ),
     "s14_write_current": (bound(s14), sql("SELECT * FROM old", "v_held_sold", **shapes.tables_sql(SOLD))),
     "s15_page_stream": (bound(s15), sql(f"SELECT {SALE_ROW}, 1 AS version FROM v_sale", "v_sale")),
     "r1_stream_upsert": (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthline.bindings import shapes
 from hearthline.bindings.views import ORDER, YEAR, Views, bound, sql
 from hearthline.operators import constraints, rules
+from hearthline.plans.feeds import ACTIVE, SOLD
 
 _REQUIRED = "Required field"
 
@@ -174,6 +175,11 @@ SUMMARY_SQL = """SELECT {by} count(*) FILTER ({valid}) AS valid_count, count(*)
 
 
 def a6(view: Views) -> DataFrame:
+    return rules.count_errors(shapes.listing_items(view), rules.active_rules(YEAR))
+
+
+def a6_reported(view: Views) -> DataFrame:
+    """The same from the reports of the records."""
     return rules.errors_by_field(_checked(view))
 
 
@@ -350,6 +356,7 @@ BINDINGS = {
         sql(_summary("page,", "counted", "n_errors = 0", "n_errors > 0"), "v_listing", **COUNTED),
     ),
     "a6_errors_by_field": (bound(a6), sql(_FIELD_COUNTS, "v_listing")),
+    "a6_reported_by_field": (bound(a6_reported), sql(_FIELD_COUNTS, "v_listing")),
     "a6_error_listing": (
         bound(a6_listing),
         sql("SELECT page, id, scraped_at, o1, o2, o3, n_errors FROM counted WHERE n_errors > 0", "v_listing", **COUNTED),

@@ -32,6 +32,7 @@ class Rule:
     bad: str
 
 
+# Messages and ranges below are fixed values: users match reports on them.
 def required(field: str) -> Rule:
     return Rule(field, f"Required field '{field}' is missing or null", "NOT {given}")
 
@@ -106,27 +107,14 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
     """
     if not enabled:
         return items.withColumns({"errors": F.array().cast(ERRORS), "is_valid": F.lit(True)})
-    fields = list(dict.fromkeys(rule.field for rule in rules))
-    # Facts and verdicts are generated columns, so that a filter on what follows
-    # stays above them instead of repeating the work that made them.
-    def settled(df: DataFrame, name: str, of_field: Callable[[str], str]) -> DataFrame:
-        every = ", ".join(f"{_quoted(f)}, {of_field(f)}" for f in fields)
-        return _settle(df.selectExpr("*", f"named_struct({every}) AS _made"), "_made", name)
-
-    # Values, then kinds, then the rest, so that each is worked out once.
-    raw = settled(items, "_raw", value)
-    kinds = settled(raw, "_kinds", lambda f: kind(f"_raw.`{f}`"))
-    found = settled(kinds, "_facts", lambda f: facts(f"_raw.`{f}`", f"_kinds.`{f}`")).drop("_raw", "_kinds")
-    reports, broken = [], []
+    judged = _judged(items, rules)
+    reports = []
     for i, rule in enumerate(rules):
-        known = terms(f"_facts.`{rule.field}`")
         report = (
-            f"named_struct('field', {_quoted(rule.field)}, 'value', {known['text']}, "
+            f"named_struct('field', {_quoted(rule.field)}, 'value', {terms(f'_facts.`{rule.field}`')['text']}, "
             f"'message', {_quoted(rule.message)})"
         )
         reports.append(f"CASE WHEN _bad[{i}] THEN {report} END")
-        broken.append(f"coalesce({rule.bad.format(**known)}, false)")
-    judged = _settle(found.selectExpr("*", f"array({', '.join(broken)}) AS _verdicts"), "_verdicts", "_bad")
     # is_valid does not read errors, so that a job that wants no report makes none.
     is_valid = "NOT array_contains(_bad, true)"
     errors = f"filter(array({', '.join(reports)}), e -> e IS NOT NULL)"
@@ -135,6 +123,38 @@ def validate(items: DataFrame, rules: Sequence[Rule], enabled: bool = True) -> D
     return checked.drop("_facts", "_bad")
 
 
+def _judged(items: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``items`` with the facts of the rules' fields and ``_bad``, a verdict per rule."""
+    fields = list(dict.fromkeys(rule.field for rule in rules))
+    # Facts and verdicts are generated columns, so that a filter on what follows
+    # stays above them instead of repeating the work that made them.
+    def settled(df: DataFrame, name: str, of_field: Callable[[str], str]) -> DataFrame:
+        every = ", ".join(f"{_quoted(f)}, {of_field(f)}" for f in fields)
+        return _settle(df.selectExpr("*", f"named_struct({every}) AS _made"), "_made", name)
+
+    # Values, then kinds, then the rest, so that each is worked out once.
+    raw = settled(items, "_raw", value)
+    kinds = settled(raw, "_kinds", lambda f: kind(f"_raw.`{f}`"))
+    found = settled(kinds, "_facts", lambda f: facts(f"_raw.`{f}`", f"_kinds.`{f}`")).drop("_raw", "_kinds")
+    broken = [f"coalesce({rule.bad.format(**terms(f'_facts.`{rule.field}`'))}, false)" for rule in rules]
+    return _settle(found.selectExpr("*", f"array({', '.join(broken)}) AS _verdicts"), "_verdicts", "_bad")
+
+
+def count_errors(items: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """As :func:`errors_by_field` of the validated records, counted from the verdicts: no report is made.
+
+    Rules of one field and message count together; rules nobody broke are left out.
+    """
+    names = [f"_n{i}" for i in range(len(rules))]
+    counted = _judged(items, rules).agg(*[F.expr(f"count_if(_bad[{i}]) AS {n}") for i, n in enumerate(names)])
+    each = [
+        f"named_struct('field', {_quoted(rule.field)}, 'message', {_quoted(rule.message)}, 'n', {n})"
+        for rule, n in zip(rules, names)
+    ]
+    told = counted.selectExpr(f"inline(array({', '.join(each)}))").filter("n > 0")
+    return told.groupBy("field", "message").agg(F.sum("n").alias("error_count"))
+
+
 def error_budget(
     validated: DataFrame,
     group: str | Sequence[str],
