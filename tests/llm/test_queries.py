@@ -43,7 +43,7 @@ def test_pipeline_stages(spark, tmp_path):
             assert seen[-1].columns == docs.columns
     _, calm, lines, single, clean, packed = seen
     assert 0 < calm.count() <= docs.count() and lines.count() == calm.count()
-    cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(calm).collect()}
+    cut = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(calm, wide=True).collect()}
     assert {r["doc_id"]: r["text"] for r in lines.collect()} == cut
     groups = near_simhash.near_duplicates(lines).select("component_id").distinct()
     assert {r["doc_id"] for r in single.collect()} == {r["component_id"] for r in groups.collect()}
