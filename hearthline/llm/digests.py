@@ -134,7 +134,7 @@ def fingerprints(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
         both = dealt.unionByName(joined.select("run", F.lit(False).alias("real"), "doc_id", "text"))
     kind = docs.schema["doc_id"].dataType
     return (
-        both.repartition(max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))), "run")
+        both.repartitionById(max(1, len(ends)), "run")  # a task per run, none with two
         .sortWithinPartitions(
             "run", F.desc("real"), F.desc_nulls_last("doc_id"), F.xxhash64("text")
         )

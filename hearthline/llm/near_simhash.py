@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,8 +201,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id.
 
-    Rows that share that doc_id differ by text: the smallest hash stays. A group whose ids
-    are all null keeps one row as well. All columns are kept.
+    Rows that share that doc_id differ by text: the smallest hash stays; of rows equal in id
+    and text the one whose other columns, as JSON, come first. A group whose ids are all
+    null keeps one row as well. All columns are kept.
     """
     bounded_batches(docs.sparkSession)
 
@@ -216,9 +217,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     roots = components(fingerprint_links(fps.select("fp")))
     grouped = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     kept = grouped.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    id_, hash_, order = fresh(docs, "kept_id", "kept_hash", "kept_order")
+    id_, hash_, row = fresh(docs, "kept_id", "kept_hash", "kept_row")
     kept = kept.select(F.col("first.doc_id").alias(id_), F.col("first.h").alias(hash_))
     same = docs["doc_id"].eqNullSafe(kept[id_]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == kept[hash_])
-    joined = docs.join(kept, same)
-    one = F.row_number().over(Window.partitionBy(id_, hash_).orderBy(F.lit(0)))
-    return joined.withColumn(order, one).filter(F.col(order) == 1).select(*docs.columns)
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.to_json(F.struct(*others)) if others else F.lit(""), F.col("text"))
+    # one row of those equal in id and text, met before the shuffle: the least by its other columns
+    one = docs.join(kept, same).groupBy(id_, hash_).agg(F.min_by(F.struct(*docs.columns), order).alias(row))
+    return one.select(f"{row}.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.common import bounded_batches, texts
-from hearthline.llm.vocabulary import WORD_BPE, Words, path_of, whole_tokens
+from hearthline.llm.vocabulary import WORD_BPE, path_of, whole_tokens, words_of_worker
 from hearthline.sources.scratch import cut
 
 SEQUENCE = 2048
@@ -150,7 +150,7 @@ def pieces(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
     end = np.uint32(END).tobytes()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words(path_of(name), whole)
+        words = words_of_worker(path_of(name), whole)
         for frame in frames:
             rows = []
             for doc, ids in zip(frame["doc_id"].tolist(), words.ids(frame["text"].tolist())):

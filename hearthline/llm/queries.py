@@ -47,7 +47,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets_ledger.secrets(table(spark, folder, "documents"))
+    return secrets_ledger.in_two_scans(table(spark, folder, "documents"))
 
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,12 +8,13 @@ are joined back to all paths. DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import texts
+from hearthline.llm.common import BROADCAST_ROWS, texts
 from hearthline.sources.scratch import cut
 
 
@@ -27,6 +28,8 @@ class Rule:
     least: int
     #: A cheaper pattern that every text with a match has, if there is one.
     hint: str = ""
+    #: The pattern for SQL without lookbehind, in texts where a mark stands before each run of token characters.
+    marked: str = ""
 
 
 # Runs of one class of characters may state their length: a shorter run holds no longer one.
@@ -46,12 +49,23 @@ RULES: dict[int, tuple[Rule, ...]] = {
     2: (
         Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0, "-----BEGIN"),
         Rule("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40, "gh[pousr]_"),
-        Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 0, "eyJ"),
+        # A run is entered only where it begins, and never given back: linear in the text.
+        Rule(
+            "jwt",
+            "(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\\.eyJ[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++",
+            0,
+            0,
+            "eyJ",
+            "\ue000eyJ[A-Za-z0-9_-]+\\.\ue000eyJ[A-Za-z0-9_-]+\\.\ue000[A-Za-z0-9_-]+",
+        ),
     ),
 }
 BASE = ("assign", "access", "hex")
 KINDS = [rule.kind for rules in RULES.values() for rule in rules]
 
+#: Matches walked at once: a list that grows is copied with each, so longer ones are put together from these.
+CHUNK = 256
+
 SPANS = "array<struct<start:long,kind:int,end:long>>"
 LEDGER = f"blob string, rule_version int, spans {SPANS}"
 
@@ -76,7 +90,31 @@ def spans_of(text: F.Column, rule: Rule) -> F.Column:
         out = F.when(step["2"] >= rule.least, F.array_append(state["out"], span)).otherwise(state["out"])
         return F.struct(end.alias("at"), out.cast(SPANS).alias("out"))
 
-    walked = F.aggregate(steps, zero, walk, lambda state: state["out"])
+    def placed(steps: F.Column) -> F.Column:
+        """The spans of all steps: those of each chunk by themselves, then moved to where it begins."""
+        last = F.floor((F.size(steps) - 1) / CHUNK).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(steps, k * CHUNK + 1, CHUNK))
+        return F.get(F.transform(F.array(F.transform(chunks, lambda c: F.aggregate(c, zero, walk))), moved), F.lit(0))
+
+    def moved(walked: F.Column) -> F.Column:
+        nowhere = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("all"))
+        begins = F.aggregate(
+            walked,
+            nowhere,
+            lambda s, w: F.struct((s["at"] + w["at"]).alias("at"), F.array_append(s["all"], s["at"]).alias("all")),
+            lambda s: s["all"],
+        )
+
+        def shifted(chunk: F.Column, by: F.Column) -> F.Column:
+            return F.transform(
+                chunk["out"],
+                lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end")),
+            )
+
+        return F.flatten(F.zip_with(walked, begins, shifted))
+
+    # arrays of one, so that what they hold is worked out once and has a name
+    walked = F.get(F.transform(F.array(steps), placed), F.lit(0))
     return F.when(text.rlike(rule.hint or rule.pattern), walked).otherwise(F.array().cast(SPANS))
 
 
@@ -84,7 +122,9 @@ def empty_ledger(docs: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], LEDGER)
 
 
-def scan(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def scan(
+    versions: DataFrame, ledger: DataFrame | None = None, rule_versions: Sequence[int] = tuple(RULES)
+) -> DataFrame:
     """New rows of the ledger: one per unseen pair of blob and rule version.
 
     ``versions(doc_id, text)``: any number of versions and paths, null texts as empty
@@ -93,7 +133,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """
     rows = texts(versions).select("doc_id", "text", F.sha2("text", 256).alias("blob"))
     first = rows.groupBy("blob").agg(F.min("doc_id").alias("first"))
-    pairs = first.select("blob", "first", F.explode(F.array(*map(F.lit, RULES))).alias("rule_version"))
+    pairs = first.select("blob", "first", F.explode(F.array(*map(F.lit, rule_versions))).alias("rule_version"))
     if ledger is not None:
         pairs = pairs.join(ledger.select("blob", "rule_version"), ["blob", "rule_version"], "left_anti")
     wanted = (
@@ -119,9 +159,35 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
 def findings(versions: DataFrame, ledger: DataFrame) -> DataFrame:
     """``(doc_id, spans)`` for every row of ``versions``, from a ledger that knows its blobs."""
-    of_blob = ledger.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    of_blob = (
+        ledger.filter(F.size("spans") > 0)
+        .groupBy("blob")
+        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    )
+    blobs, spans = ledger.agg(F.count_if(F.size("spans") > 0), F.sum(F.size("spans"))).first()
+    if blobs <= BROADCAST_ROWS and (spans or 0) <= BROADCAST_ROWS:  # few texts hold anything
+        of_blob = F.broadcast(of_blob)
     paths = texts(versions).select("doc_id", F.sha2("text", 256).alias("blob"))
-    return paths.join(of_blob, "blob").select("doc_id", "spans")
+    none = F.array().cast(SPANS)
+    return paths.join(of_blob, "blob", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+
+
+@dataclass(frozen=True)
+class Scanned:
+    """What a scan says of every row, and the ledger to give to the next one."""
+
+    report: DataFrame
+    ledger: DataFrame
+
+
+def incremental(versions: DataFrame, ledger: DataFrame | None = None) -> Scanned:
+    """Scan what the ledger does not know, and report on every row of ``versions``.
+
+    The new rows of the ledger are computed here, once, and kept in the shared folder.
+    """
+    new = cut(scan(versions, ledger))
+    every = new if ledger is None else new.unionByName(ledger.select(new.columns))
+    return Scanned(_reported(findings(versions, every)), every)
 
 
 def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
@@ -129,10 +195,22 @@ def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
     A null text counts as empty, a text without findings has the hash of the empty
     string and no spans. Repeated rows each get their row; null ids are scanned too.
-    Other columns are not read. ``ledger``: what earlier scans found.
+    Other columns are not read. ``ledger``: what earlier scans found; :func:`incremental`
+    gives the ledger after this one as well.
     """
-    new = cut(scan(docs, ledger))
-    found = findings(docs, new if ledger is None else new.unionByName(ledger.select(new.columns)))
+    return incremental(docs, ledger).report
+
+
+def in_two_scans(docs: DataFrame) -> DataFrame:
+    """As :func:`secrets`, the way a ledger grows: documents with even ids were scanned before, by
+    the first rules; now all documents come with all rules, and only what is new is scanned."""
+    earlier = docs.filter(F.col("doc_id") % 2 == 0)
+    known = cut(scan(earlier, rule_versions=(min(RULES),)))
+    return secrets(docs, known)
+
+
+def _reported(found: DataFrame) -> DataFrame:
+    """The columns of a report from ``(doc_id, spans)``."""
 
     def joined(spans: F.Column) -> F.Column:
         kinds = F.array(*map(F.lit, KINDS))
@@ -154,14 +232,17 @@ def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
 
 def _sql_spans(version_kind: int, rule: Rule) -> str:
-    pattern = rule.pattern.replace("'", "''")
+    pattern, text = (rule.marked or rule.pattern).replace("'", "''"), "text"
+    if rule.marked:  # marks are put in, and do not count
+        text = "regexp_replace(text, '(^|[^A-Za-z0-9_-])([A-Za-z0-9_-])', '\\1\ue000\\2', 'g')"
+    size = "length(replace({}, '\ue000', ''))" if rule.marked else "length({})"
     return f"""SELECT doc_id, {version_kind} AS kind, '{rule.kind}' AS name,
-      list_sum([length(x) for x in gaps[1:k]])
-        + coalesce(list_sum([length(x) for x in found[1:k - 1]]), 0) AS start,
-      length(found[k]) AS size, length(kept[k]) AS kept
+      list_sum([{size.format("x")} for x in gaps[1:k]])
+        + coalesce(list_sum([{size.format("x")} for x in found[1:k - 1]]), 0) AS start,
+      {size.format("found[k]")} AS size, length(kept[k]) AS kept
     FROM (SELECT doc_id, gaps, found, kept, unnest(range(1, len(found) + 1)) AS k FROM (
-      SELECT doc_id, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}', 0) AS found,
-        regexp_extract_all(text, '{pattern}', {rule.group}) AS kept FROM t))
+      SELECT doc_id, string_split_regex(marked, '{pattern}') AS gaps, regexp_extract_all(marked, '{pattern}', 0) AS found,
+        regexp_extract_all(marked, '{pattern}', {rule.group}) AS kept FROM (SELECT doc_id, {text} AS marked FROM t)))
     WHERE length(kept[k]) >= {rule.least}"""
 
 

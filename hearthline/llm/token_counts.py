@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthline.llm.common import bounded_batches, texts
-from hearthline.llm.vocabulary import WORD_BPE, Words, path_of, whole_tokens
+from hearthline.llm.vocabulary import WORD_BPE, path_of, whole_tokens, words_of_worker
 
 LIMIT = 2048
 
@@ -29,7 +29,7 @@ def token_counts(docs: DataFrame, name: str = WORD_BPE, limit: int = LIMIT) -> D
 
     @F.pandas_udf(T.LongType())
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Words(path_of(name), whole)
+        words = words_of_worker(path_of(name), whole)
         for batch in batches:
             yield pd.Series(words.counts(batch.tolist()), dtype="int64")
 

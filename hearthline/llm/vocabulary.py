@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -124,5 +126,17 @@ class Words:
         return [sum(map(len, parts)) // 4 for parts in self._each(texts)]
 
 
+def words_of_worker(path: str, whole: dict[str, int]) -> Words:
+    """The ``Words`` of this Python worker: later tasks of the process know what earlier ones learned.
+
+    Kept in a module of its own, as functions of this package reach workers by value; bounded
+    by ``REMEMBERED`` like that of a single task.
+    """
+    state = sys.modules.setdefault("_hearthline_worker", types.ModuleType("_hearthline_worker")).__dict__
+    if path not in state:
+        state[path] = Words(path, whole)
+    return state[path]
+
+
 def path_of(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)

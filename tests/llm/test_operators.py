@@ -149,6 +149,22 @@ def test_edit_distance():
         assert line_dedup.distance(a, b) == slow_distance(a, b)
 
 
+def test_pairs_side_by_side_equal_single_ones():
+    chosen, made = random.Random(6), []
+    for k in range(150):
+        base = [chosen.choice("abcdefgh éß ") for _ in range(chosen.choice((0, 1, 5, 30, 63, 64, 65, 128, 200, 300)))]
+        other = list(base)
+        for _ in range(int(len(base) * chosen.random() * 0.35)):
+            at = chosen.randrange(len(other) + 1)
+            other[at : at + 1] = chosen.choice(([], ["q"], ["x", "y"]))
+        made += ["".join(base), "".join(other)]
+    left = np.array([*range(0, 300, 2), *(chosen.randrange(300) for _ in range(300))])
+    right = np.array([*range(1, 300, 2), *(chosen.randrange(300) for _ in range(300))])
+    want = [slow_distance(made[i], made[j]) <= 0.2 * max(len(made[i]), len(made[j])) + 1e-9 for i, j in zip(left, right)]
+    assert line_dedup.alike_pairs(made, left, right).tolist() == want and 50 < sum(want) < 300
+    assert [line_dedup.alike(made[i], made[j]) for i, j in zip(left, right)] == want
+
+
 def slow_line_fingerprint(line):
     hashes = [xxhash.xxh64_intdigest(w) for w in line.split(b" ")]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
@@ -248,6 +264,37 @@ def test_wide_search_against_edit_similarity_alone(spark):
     print("wide search finds", len(drops), "of", len(want))
 
 
+@pytest.mark.parametrize("most, part", [(256, 2000), (2, 3)])
+def test_wide_search_links_copies_chains_and_common_runs(spark, most, part):
+    """Common runs, chains, equal lines and lines apart; every link is one of alike lines."""
+    passage, rows = prose(60, 40), []
+    rows += [(k, f"{prose(700 + k, 30)} {passage}") for k in range(25)]  # a shared run, lines apart
+    base = prose(61, 50).split()
+    for k in range(25):
+        words = list(base)
+        words[(7 * k) % 50] = f"other{k}"
+        rows.append((100 + k, " ".join(words)))
+    rows += [(200 + k, prose(62, 20)) for k in range(5)] + odd()
+    drops = line_dedup._wide_drops(frame(spark, rows), most, part)
+    got = {(r["doc_id"], k) for r in drops.collect() for k in r["drops"]}
+    assert {(100 + k, 0) for k in range(1, 25)} | {(200 + k, 0) for k in range(1, 5)} <= got
+    assert not {(k, 0) for k in range(8, 25)} & got and (100, 0) not in got
+    gone = {i for i, _ in got if i is not None and i < 100}
+    assert gone == {6}  # the copy of the long line; rows equal in id and text are one occurrence
+
+
+def test_wide_odd_cases(spark):
+    got = line_dedup.dedup_lines(frame(spark, odd()), wide=True).collect()
+    assert len(got) == len(odd())
+    by_id = {r["doc_id"]: r for r in got}
+    assert (by_id[2]["n_lines"], by_id[2]["n_dropped"], by_id[2]["text"]) == (0, 0, None)
+    assert (by_id[4]["n_lines"], by_id[4]["n_dropped"], by_id[4]["text"]) == (3, 0, "  \n\t\n")
+    assert by_id[6]["text"] == "" and by_id[5]["n_dropped"] == 0 and by_id[7]["n_dropped"] == 0
+    assert line_dedup.dedup_lines(frame(spark, []), wide=True).collect() == []
+    kept = line_dedup.without_repeats(frame(spark, odd()), wide=True)
+    assert kept.columns == frame(spark, []).columns and kept.count() == len(odd())
+
+
 def test_rows_of_numbers_stay(spark):
     rows = [(1, "2021-03-04 17.5\n1999-12-31 42.0\n+5 -3\n-8 +1"), (2, "2021-03-04  17.5\n10:45 7%\nA line, of words!"), (3, "a line of words")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect()}
@@ -520,6 +567,40 @@ def test_only_unseen_blobs_are_scanned(spark):
     assert {r["doc_id"]: r["spans"] for r in secrets_ledger.secrets(frame(spark, second), ledger).collect()} == whole
 
 
+def test_a_ledger_grows_from_scan_to_scan(spark):
+    rows = secret_rows()
+    want = sorted(map(tuple, secrets_ledger.secrets(frame(spark, rows)).collect()))
+    assert sorted(map(tuple, secrets_ledger.in_two_scans(frame(spark, rows)).collect())) == want
+    first = secrets_ledger.incremental(frame(spark, rows[:50]))
+    again = secrets_ledger.incremental(frame(spark, rows), first.ledger)
+    assert sorted(map(tuple, again.report.collect())) == want
+    pairs = again.ledger.select("blob", "rule_version")
+    assert pairs.count() == pairs.distinct().count() == 2 * len({t for _, t in rows})
+    assert secrets_ledger.scan(frame(spark, rows), again.ledger).count() == 0
+
+
+TOKENS = ["eyJ", "-eyJ", "eyJa.", "eyJa.eyJ", "gho_", "AKIA", "-----BEGIN ", "token=", "token = ", "0123456789abcde ", "a", "secret:'"]
+
+
+@pytest.mark.parametrize("prefix", TOKENS)
+def test_rules_are_linear(spark, prefix):
+    """A megabyte of a rule's beginning, over and over."""
+    import time
+
+    text = prefix * (1_000_000 // len(prefix))
+    began = time.perf_counter()
+    got = secrets_ledger.secrets(frame(spark, [(1, text)])).collect()
+    assert len(got) == 1 and time.perf_counter() - began < 30
+
+
+def test_web_tokens(spark):
+    token = "eyJhbGci-_0.eyJzdWIi.c2lnbmF0dXJl"
+    rows = [(1, f"x {token} y"), (2, f"a{token}"), (3, f"é{token}.eyJ"), (4, f"{token} {token}"), (5, "eyJa.eyJb"), (6, "eyJa.eyJb.")]
+    got = {r["doc_id"]: r["spans"] for r in secrets_ledger.secrets(frame(spark, rows)).collect()}
+    n = len(token)
+    assert got == {1: f"jwt:2:{2 + n}", 2: "", 3: f"jwt:1:{1 + n}", 4: f"jwt:0:{n},jwt:{n + 1}:{2 * n + 1}", 5: "", 6: ""}
+
+
 # ---- classifiers -------------------------------------------------------------------------------
 
 
