@@ -69,6 +69,14 @@ def _gaps(view: Views) -> DataFrame:
     return pages.missing_pages(headers, landed, ["session_id"])
 
 
+def s6_ranges(view: Views) -> DataFrame:
+    """The same pages as ranges."""
+    steps = view("v_progress")
+    headers = steps.groupBy("session_id").agg((F.max("current_page") + 1).alias("total_pages"))
+    landed = steps.select("session_id", F.col("current_page").alias("page"))
+    return pages.missing_ranges(headers, landed, ["session_id"])
+
+
 MISSING = {
     "expected": """SELECT session_id, unnest(range(CAST(0 AS BIGINT), CAST(max(current_page) + 1 AS BIGINT))) AS page
                    FROM v_progress GROUP BY session_id""",
@@ -425,6 +433,16 @@ BINDINGS = {
         ),
     ),
     "s6_missing_pages": (bound(_gaps), sql("SELECT session_id, page FROM missing", "v_progress", **MISSING)),
+    "s6_missing_ranges": (
+        bound(s6_ranges),
+        sql(
+            """SELECT session_id, min(page) AS first_page, max(page) AS last_page, count(*) AS pages
+               FROM (SELECT session_id, page, page - row_number() OVER (PARTITION BY session_id ORDER BY page) AS island
+                     FROM (SELECT DISTINCT session_id, page FROM missing)) GROUP BY session_id, island""",
+            "v_progress",
+            **MISSING,
+        ),
+    ),
     "s7_page_failures": (
         bound(s7),
         sql(

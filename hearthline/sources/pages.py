@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.operators.ordered import ordered
+
 PAGE_SIZE = 50
 SAMPLE_LIMIT = 10
 _SPREAD = 10_000
@@ -150,6 +152,41 @@ def missing_pages(headers: DataFrame, landed: DataFrame, run: Sequence[str] = ()
     )
 
 
+def missing_ranges(headers: DataFrame, landed: DataFrame, run: Sequence[str] = (), base: int = 0, **tuning) -> DataFrame:
+    """The pages still to read as ranges: ``first_page``, ``last_page`` and ``pages`` per gap.
+
+    As :func:`missing_pages`, but a gap is one row however long it is, and no page number is
+    made that is not a border of one: a run costs its landed pages, not its pages.
+    ``tuning``: for runs with very many landed pages, see :func:`ordered`.
+    """
+    told = list(run)
+    run = told or ["_run"]
+    if not told:  # one run without a name
+        headers, landed = headers.withColumn("_run", F.lit(0)), landed.withColumn("_run", F.lit(0))
+    size = headers.groupBy(*run).agg(F.max("total_pages").cast("long").alias("_total")).filter("_total > 0")
+    last = F.lit(base - 1) + F.col("_total")
+    borders = size.select(*run, F.lit(base - 1).cast("long").alias("page")).unionByName(
+        size.select(*run, (last + 1).alias("page"))
+    )
+    pages = landed.select(*run, F.col("page").cast("long").alias("page")).distinct()
+    inside = pages.join(size, run).filter((F.col("page") >= base) & (F.col("page") <= last)).select(*run, "page")
+    walked = ordered(borders.unionByName(inside), run, ["page"], leads={"_next": "page"}, **tuning)
+    return walked.filter(F.col("_next") > F.col("page") + 1).select(
+        *told,
+        (F.col("page") + 1).alias("first_page"),
+        (F.col("_next") - 1).alias("last_page"),
+        (F.col("_next") - F.col("page") - 1).alias("pages"),
+    )
+
+
+def range_failures(ranges: DataFrame, page_size: int = PAGE_SIZE, run: Sequence[str] = ()) -> DataFrame:
+    """:func:`page_failures` from the ranges of :func:`missing_ranges`."""
+    pages = F.sum("pages")
+    return ranges.groupBy(*run).agg(
+        pages.alias("pages_failed"), (pages * page_size).alias("records_failed"), pages.alias("api_calls_made")
+    )
+
+
 def page_failures(missing: DataFrame, page_size: int = PAGE_SIZE, run: Sequence[str] = ()) -> DataFrame:
     """A page given up on counts as one call and ``page_size`` failed records."""
     pages = F.count(F.lit(1))

@@ -57,6 +57,23 @@ def test_missing_pages(spark, spread, monkeypatch):
     assert [(r.run, r.pages_failed, r.records_failed, r.api_calls_made) for r in lost] == [(1, 5, 250, 5)]
 
 
+@pytest.mark.parametrize("tuning", [{}, {"hot_rows": 2, "parts": 4}])
+def test_missing_ranges(spark, tuning):
+    heads = spark.createDataFrame([(1, 7), (1, 5), (2, 3), (3, 0), (4, 10**9)], "run int, total_pages long")
+    landed = spark.createDataFrame([(1, 1), (1, 4), (1, 4), (1, 99), (2, 1), (2, 2), (2, 3), (4, 500), (9, 1)], "run int, page long")
+    gaps = pages.missing_ranges(heads, landed, ["run"], base=1, **tuning)
+    assert sorted(map(tuple, gaps.collect())) == [
+        (1, 2, 3, 2), (1, 5, 7, 3), (4, 1, 499, 499), (4, 501, 10**9, 10**9 - 500),
+    ]
+    small = heads.filter("run < 4")
+    numbers = gaps.filter("run < 4").selectExpr("run", "explode(sequence(first_page, last_page)) AS page")
+    assert sorted(map(tuple, numbers.collect())) == sorted(map(tuple, pages.missing_pages(small, landed, ["run"], base=1).collect()))
+    lost = {r.run: (r.pages_failed, r.records_failed) for r in pages.range_failures(gaps, 50, ["run"]).collect()}
+    assert lost == {1: (5, 250), 4: (10**9 - 1, 50 * (10**9 - 1))}
+    one = pages.missing_ranges(heads.filter("run = 1").drop("run"), landed.filter("run = 1").drop("run"), base=1)
+    assert sorted(map(tuple, one.collect())) == [(2, 3, 2), (5, 7, 3)]
+
+
 def test_snapshots_swap_whole(spark, tmp_path):
     place = store.Store(spark, str(tmp_path / "store"))
     assert place.read_current(SOLD).count() == 0
