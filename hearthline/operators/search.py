@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from hearthline.functions.dates import days_back
 
 PAGE_SIZE = 50
+#: Rows before a page from which it is looked for by counting ranges; rows of a range that may be sorted.
+DEEP = 100_000
+RANGE_ROWS = 50_000
+_SPLITS = 128
 
 # Search names and the columns they stand for.
 ACTIVE_RANGES = {
@@ -160,6 +164,64 @@ def _sort_columns(sort: str, names: Mapping[str, str], key: str) -> tuple[str, b
     return names[name], direction == "a"
 
 
+def _marked(name: str, bounds: list) -> Column:
+    """Where a value lies among ascending bounds: 2k between two of them, 2k + 1 on one; -1 for NULL."""
+    value, marks = F.col(name), F.array(*map(F.lit, bounds))
+    below = F.size(F.filter(marks, lambda b: b < value))
+    on = F.exists(marks, lambda b: b == value).cast("int")
+    return F.when(value.isNull(), -1).otherwise(2 * below + on)
+
+
+def _between(name: str, bounds: list, first: int, last: int) -> Column:
+    """The rows marked ``first`` to ``last``, as plain bounds that reach the scan."""
+    value, kept = F.col(name), F.col(name).isNotNull()
+    if first > 0:
+        kept = kept & (value >= bounds[first // 2] if first % 2 else value > bounds[first // 2 - 1])
+    if last < 2 * len(bounds):
+        kept = kept & (value <= bounds[last // 2] if last % 2 else value < bounds[last // 2])
+    return kept
+
+
+def _near_page(
+    found: DataFrame, column: str, ascending: bool, key: str, skip: int, size: int, range_rows: int
+) -> tuple[DataFrame, int]:
+    """The part of the results that holds a page, and the rows of it before the page.
+
+    Rows are counted by ranges between quantiles of the sort value, at most 257 numbers a
+    round; the range the page lies in is looked at again until it is small. Rows of one value
+    are told apart by their key. Nothing is sorted here.
+    """
+    name, up = column, ascending
+    while True:
+        shares = [k / _SPLITS for k in range(1, _SPLITS)]
+        quantiles = found.agg(F.percentile_approx(name, shares)).first()[0]
+        bounds = sorted(set(quantiles or []))
+        counts = {r.at: r.n for r in found.groupBy(_marked(name, bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        order = sorted((at for at in counts if at >= 0), reverse=not up) + ([-1] if -1 in counts else [])
+        before, held = 0, []
+        for at in order:
+            if before + counts[at] > skip or held:
+                held.append(at)
+                if before + sum(counts[k] for k in held) >= skip + size:
+                    break
+            else:
+                before += counts[at]
+        if not held:  # the page lies beyond the results
+            return found.limit(0), 0
+        known = [at for at in held if at >= 0]
+        near = F.lit(False)
+        if known:
+            near = _between(name, bounds, min(known), max(known))
+        if -1 in held:
+            near = near | F.col(name).isNull()
+        found, skip = found.filter(near), skip - before
+        total = sum(counts[k] for k in held)
+        if total <= range_rows or len(held) > 1 or len(order) == 1 and name == key:
+            return found, skip
+        if held[0] % 2 or len(order) == 1:  # rows of one value, or of none
+            name, up = key, True
+
+
 def result_page(
     found: DataFrame,
     sort: str,
@@ -169,12 +231,16 @@ def result_page(
     first_page: int,
     size: int = PAGE_SIZE,
     after: tuple[Any, Any] | None = None,
+    deep: int = DEEP,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """One page of a search in order; rows of equal value are ordered by key.
 
     ``sort`` is a field and ``-a`` or ``-d``. NULLs come last. Far into the results
     pass ``after``, the (sort value, key) of the last row seen: the page that
-    follows it is then found by a filter instead of by counting rows off.
+    follows it is then found by a filter instead of by counting rows off. A page that
+    more than ``deep`` rows precede is looked for by counting ranges, in a few small jobs that
+    run here; only the range it lies in is sorted.
     """
     column, ascending = _sort_columns(sort, names, key)
     value = F.col(column)
@@ -189,6 +255,8 @@ def result_page(
         skip = 0
     else:
         skip = (page - first_page) * size
+        if skip > deep:
+            found, skip = _near_page(found, column, ascending, key, skip, size, range_rows)
     direction = value.asc_nulls_last() if ascending else value.desc_nulls_last()
     return found.orderBy(direction, F.col(key)).offset(skip).limit(size)
 

@@ -46,6 +46,22 @@ def test_pages_and_seeking(homes):
         search.active_page(homes, "street-a")
 
 
+@pytest.mark.parametrize("sort", ["daysForSale-a", "price-d", "size-a"])
+def test_deep_pages_equal_offsets(spark, monkeypatch, sort):
+    """Many ties, nulls and a hot value; the page comes from a small range."""
+    rows = spark.range(20_000).selectExpr(
+        "id", "CAST(hash(id) % 1000 AS INT) AS price", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE CAST(id % 500 AS INT) END AS days_for_sale",
+        "CAST(NULL AS INT) AS size",
+    )
+    plain = search.active_page(rows, sort, 0, size=20_000).collect()
+    seen, near = [], search._near_page
+    monkeypatch.setattr(search, "_near_page", lambda *a: seen.append(near(*a)) or seen[-1])
+    for page in (11, 50, 101, 199, 250):
+        got = search.active_page(rows, sort, page, size=100, deep=1000, range_rows=200).collect()
+        assert got == plain[100 * page : 100 * page + 100]
+    assert len(seen) == 5 and all(part.count() <= 700 for part, _ in seen)
+
+
 def test_sales_by_date(spark):
     sold = spark.createDataFrame([(1, date(2024, 6, 1)), (2, date(2024, 5, 1)), (3, None)], "estate_id int, sold_date date")
     found = search.sold_since(sold, "2024-06-08 10:00:00", 7).collect()
