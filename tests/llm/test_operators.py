@@ -725,3 +725,17 @@ def test_repeats_plane():
     starts = [0, 2, 4, 6, 9, 11]
     assert [round(float(got[s]), 6) for s in starts] == [round(s, 6) for s in share]
     assert len(quality.repeats(np.zeros(0, np.uint8))) == 0
+
+
+@pytest.mark.parametrize("part", [1000, 12])
+def test_lines_of_a_common_key_all_meet(spark, part):
+    """Of a key that many lines have, no two lines of like length are kept apart, whatever else they share."""
+    step = line_dedup._LENGTH_STEPS
+    lengths = {n: 900 + 7 * (n % 40) for n in range(400)}
+    keys = [(n, size, [5, 1000 + 2 * n, 1001 + 2 * n]) for n, size in lengths.items()]
+    made = line_dedup._bucketed(spark.createDataFrame(keys, "name long, pack long, keys array<long>"), 8, part)
+    buckets = {}
+    for r in made.collect():
+        buckets.setdefault(r["bucket"], set()).add(r["name"])
+    met = {(a, b) for names in buckets.values() for a in names for b in names}
+    assert all((a, b) in met for a in lengths for b in lengths if abs(lengths[a] - lengths[b]) <= step)
