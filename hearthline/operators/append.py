@@ -32,16 +32,17 @@ def number_batches(rows: DataFrame, order: Sequence[str], batch_size: int = BATC
     return numbered.withColumn("batch", F.floor((F.col("_position") - 1) / batch_size)).drop("_position")
 
 
-def _failed_batches(table: DataFrame, rows: DataFrame, feed: Feed) -> DataFrame:
+def _failed_batches(table: DataFrame, pairs: DataFrame, feed: Feed) -> DataFrame:
+    """The batches that fail; ``pairs`` has ``batch``, the key and ``held`` of every row."""
     key = feed.key
-    held = (
-        rows.groupBy("batch", key)
-        .agg((F.count_if(~feed.storable()) + F.count(F.lit(1)) - 1).alias("_faults"))
+    held = kept(
+        pairs.groupBy("batch", key)
+        .agg((F.count_if(~F.col("held")) + F.count(F.lit(1)) - 1).alias("_faults"))
         .join(table.select(key, F.lit(1).alias("_known")), key, "left")
         .select("batch", key, (F.col("_faults") + F.coalesce("_known", F.lit(0)) > 0).alias("_bad"))
     )
     alone = held.groupBy("batch").agg(F.bool_or("_bad").alias("_bad"))
-    failed = alone.filter("_bad").select("batch")
+    failed = kept(alone.filter("_bad").select("batch"))
 
     # What is left can only fail over a key two sound batches share.
     sound = held.join(failed, "batch", "left_anti").select("batch", key)
@@ -116,15 +117,17 @@ def bulk_append(table: DataFrame, rows: DataFrame, feed: Feed) -> Written:
     """``rows`` (with a ``batch`` number, see :func:`number_batches`) added to the
     table; stats inserted, failed and total.
 
-    Runs small jobs at once while batches contest keys, and none otherwise but
-    the check for it. Batches that wait for each other in a chain cost no more rounds
+    Runs at once: the batch and key of every row are written, then settled in small jobs while
+    batches contest keys. Batches that wait for each other in a chain cost no more rounds
     than others (see :func:`_losers`).
     """
-    failed = _failed_batches(table, rows, feed)
+    # Numbering is dear: what decides is written once, and the rows are made again only to enter.
+    pairs = kept(rows.select("batch", feed.key, feed.storable().alias("held")))
+    failed = kept(_failed_batches(table, pairs, feed))
     entered = rows.join(failed, "batch", "left_anti")
 
     def count() -> DataFrame:
-        sizes = rows.groupBy("batch").agg(F.expr("count(1) AS n"))
+        sizes = pairs.groupBy("batch").agg(F.expr("count(1) AS n"))
         outcome = sizes.join(failed.selectExpr("batch", "true AS lost"), "batch", "left")
         return outcome.selectExpr(
             "coalesce(sum(n) FILTER (WHERE lost IS NULL), 0L) AS inserted",
