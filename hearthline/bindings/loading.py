@@ -337,8 +337,7 @@ _HIT = ("hit_time", "o1", "o2", "o3")
 
 def p3_failed(view: Views) -> DataFrame:
     """Records by the required keys they lack."""
-    given = mapping.snake_records(_snake_items(view), ACTIVE.schema, ACTIVE.required, AS_OF)
-    lost = given.filter("size(missing) > 0").select(F.array_join("missing", ",").alias("missing"))
+    lost = mapping.lacking_records(_snake_items(view), ACTIVE.required).select(F.array_join("missing", ",").alias("missing"))
     return lost.groupBy("missing").agg(F.count(F.lit(1)).alias("failed_records"))
 
 

@@ -18,6 +18,10 @@ ISO_PATTERN = (
 # The two spellings met most, which a cast reads faster: a date, and a date-time to
 # the second or finer in UTC.
 _PLAIN_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?Z?)?$"
+# A date-time to the second with an offset: the same, shifted.
+_OFFSET_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}[+-](?:[01]\d|2[0-3]):[0-5]\d\z"
+# No date is shorter.
+_LEAST = 8
 # The parts by the number of their group.
 _GROUPS = {
     "year": 1, "month": 3, "day": 4, "hour": 5, "minute": 7, "second": 8, "fraction": 9,
@@ -69,10 +73,21 @@ def iso_timestamp(text: str) -> str:
         f"CASE WHEN p IS NULL THEN NULL WHEN {in_range} THEN timestampadd(SECOND, "
         f"if(p[{_PARTS.index('sign')}] = '-', {shift}, -{shift}), {local}) END"
     )
-    parts = f"CASE WHEN {zulu} RLIKE r'{ISO_PATTERN}' THEN split(regexp_replace({zulu}, r'{ISO_PATTERN}', '{listed}'), ',') END"
-    general = f"transform(array({parts}), p -> {utc})[0]"
+    # A text that matches never stays as it is, so that the pattern runs once.
+    replaced = f"array(regexp_replace({zulu}, r'{ISO_PATTERN}', '{listed}'))"
+    parts = f"transform({replaced}, r -> CASE WHEN r <> {zulu} THEN split(r, ',') END)"
+    general = f"transform({parts}, p -> {utc})[0]"
     plain = f"{text} RLIKE r'{_PLAIN_PATTERN}'"
-    return f"CASE WHEN {plain} THEN try_cast(rtrim('Z', {text}) AS TIMESTAMP_NTZ) ELSE {general} END"
+    offset = f"(CAST(substr({text}, 21, 2) AS INT) * 3600 + CAST(substr({text}, 24, 2) AS INT) * 60)"
+    shifted = (
+        f"timestampadd(SECOND, if(substr({text}, 20, 1) = '-', {offset}, -{offset}), "
+        f"try_cast(substr({text}, 1, 19) AS TIMESTAMP_NTZ))"
+    )
+    return (
+        f"CASE WHEN coalesce(length({text}), 0) < {_LEAST} THEN NULL "
+        f"WHEN {plain} THEN try_cast(rtrim('Z', {text}) AS TIMESTAMP_NTZ) "
+        f"WHEN {text} RLIKE r'{_OFFSET_PATTERN}' THEN {shifted} ELSE {general} END"
+    )
 
 
 def days_back(as_of: datetime | str | Column, days: int) -> tuple[Column, Column]:

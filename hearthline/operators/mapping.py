@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from hearthline import schemas
 from hearthline.functions.dates import iso_timestamp, ntz
+from hearthline.functions.variants import kind as kind_of
+from hearthline.functions.variants import text, typed, values
 
 # (record key, table column, how it is read). Whole numbers are cut toward zero.
 ACTIVE_FIELDS = (
@@ -53,13 +55,28 @@ REQUIRED_ACTIVE = ("id", "price", "size", "city", "zip_code", "street")
 REQUIRED_SOLD = ("estate_id", "address", "zip_code", "price", "sold_date", "city")
 
 
-def _read(key: str, kind: str) -> str:
-    text = f"try_variant_get(item, '$.{key}', 'string')"
+def _looked(items: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
+    """``items`` with ``_raw``, the fields' values, and ``_told``, the kinds of numbers and the texts of dates.
+
+    Both are generated columns: a record is walked once, and what follows does not repeat it.
+    """
+    raw = items.selectExpr("*", f"explode(array({values([key for key, _ in fields])})) AS _raw")
+    told = ", ".join(
+        f"'{key}', {text(f'_raw.`{key}`') if kind.startswith('iso') else kind_of(f'_raw.`{key}`')}"
+        for key, kind in fields
+        if kind != "string"
+    )
+    return raw.selectExpr("*", f"explode(array(named_struct({told}))) AS _told")
+
+
+def _value(key: str, kind: str) -> str:
+    """A field of :func:`_looked` read as ``kind``."""
+    told = f"_told.`{key}`"
     if kind == "iso timestamp":
-        return iso_timestamp(text)
+        return iso_timestamp(told)
     if kind == "iso date":
-        return f"CAST({iso_timestamp(text)} AS DATE)"
-    return f"try_variant_get(item, '$.{key}', '{kind}')"
+        return f"CAST({iso_timestamp(told)} AS DATE)"
+    return typed(f"_raw.`{key}`", told, kind)
 
 
 def cleaned(items: DataFrame, fields: Sequence[tuple[str, str, str]], *keep: str) -> DataFrame:
@@ -67,7 +84,7 @@ def cleaned(items: DataFrame, fields: Sequence[tuple[str, str, str]], *keep: str
 
     Fields no rule looks at pass through as they are.
     """
-    return items.select(*keep, *[F.expr(f"{_read(key, kind)} AS {key}") for key, _, kind in fields])
+    return _looked(items, [(key, kind) for key, _, kind in fields]).select(*keep, *[F.expr(f"{_value(key, kind)} AS {key}") for key, _, kind in fields])
 
 
 def _mapped(
@@ -77,9 +94,9 @@ def _mapped(
     keep: Sequence[str | Column],
 ) -> DataFrame:
     now = ntz(as_of)
-    return items.select(
+    return _looked(items, [(key, kind) for key, _, kind in fields]).select(
         *keep,
-        *[F.expr(f"{_read(key, kind)} AS {column}") for key, column, kind in fields],
+        *[F.expr(f"{_value(key, kind)} AS {column}") for key, column, kind in fields],
         now.alias("scraped_at"),
         now.alias("updated_at"),
         F.expr("1 AS version"),
@@ -121,10 +138,17 @@ def from_snake(
     return rows.select(*keep, *columns)
 
 
-def lacking(required: Sequence[str], item: str = "item") -> Column:
-    """The required keys that a record (VARIANT) does not have at all; a null is a value."""
-    absent = [f"CASE WHEN variant_get({item}, '$.{c}', 'variant') IS NULL THEN '{c}' END" for c in required]
-    return F.expr(f"filter(array({', '.join(absent)}), k -> k IS NOT NULL)")
+def lacking(required: Sequence[str], raw: str = "_raw") -> Column:
+    """The required keys that are absent among the values of a record; a null is a value."""
+    absent = [f"CASE WHEN {raw}.`{c}` IS NULL THEN '{c}' END" for c in required]
+    return F.expr(f"array_compact(array({', '.join(absent)}))")
+
+
+def lacking_records(items: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``missing`` of :func:`snake_records` for the records that lack a required key; nothing else is read."""
+    raw = items.selectExpr(f"explode(array({values(required)})) AS _raw")
+    told = raw.select(F.explode(F.array(lacking(required))).alias("missing"))
+    return told.filter("size(missing) > 0")
 
 
 def snake_records(
@@ -138,22 +162,21 @@ def snake_records(
     key but is not of its column's type is NULL.
     """
     now = {"scraped_at": ntz(as_of), "updated_at": ntz(as_of), "version": F.lit(1)}
-    columns = []
+    dates = {"timestamp_ntz": "iso timestamp", "date": "iso date"}
+    fields = []
     for field in schema:
-        key = "change" if field.name == "change_percent" else field.name
         kind = field.dataType.simpleString()
-        if kind == "timestamp_ntz":
-            value = F.expr(iso_timestamp(f"try_variant_get(item, '$.{key}', 'string')"))
-        elif kind == "date":
-            text = f"try_variant_get(item, '$.{key}', 'string')"
-            value = F.expr(f"CAST({iso_timestamp(text)} AS DATE)")
-        else:
-            value = F.expr(f"try_variant_get(item, '$.{key}', '{kind}')")
+        fields.append(("change" if field.name == "change_percent" else field.name, dates.get(kind, kind)))
+    known = {key for key, _ in fields}
+    looked = _looked(items, fields + [(c, "string") for c in required if c not in known])
+    looked = looked.select("*", F.explode(F.array(lacking(required))).alias("_missing"))
+    columns = []
+    for field, (key, kind) in zip(schema, fields):
+        value = F.expr(_value(key, kind))
         if field.name in now:
-            given = F.expr(f"variant_get(item, '$.{key}', 'variant')").isNotNull()
-            value = F.when(given, value).otherwise(now[field.name])
+            value = F.when(F.col(f"_raw.`{key}`").isNotNull(), value).otherwise(now[field.name])
         columns.append(value.cast(field.dataType).alias(field.name))
-    return items.select(*keep, *columns, lacking(required).alias("missing"))
+    return looked.select(*keep, *columns, F.col("_missing").alias("missing"))
 
 
 def quick_map(items: DataFrame, as_of: datetime | str | Column, *keep: str) -> DataFrame:
@@ -162,13 +185,12 @@ def quick_map(items: DataFrame, as_of: datetime | str | Column, *keep: str) -> D
     defaults = {"city": "'Unknown'", "zipCode": "0", "street": "'Unknown'"}
     wanted = ("id", "price", "rooms", "size", "city", "zipCode", "street", "latitude", "longitude", "buildYear",
               "propertyType")
+    fields = [(key, column, kind) for key, column, kind in ACTIVE_FIELDS if key in wanted]
     columns = []
-    for key, column, kind in ACTIVE_FIELDS:
-        if key not in wanted:
-            continue
-        value = _read(key, kind)
+    for key, column, kind in fields:
+        value = _value(key, kind)
         if key in defaults:
-            value = f"CASE WHEN variant_get(item, '$.{key}', 'variant') IS NULL THEN {defaults[key]} ELSE {value} END"
+            value = f"CASE WHEN _raw.`{key}` IS NULL THEN {defaults[key]} ELSE {value} END"
         columns.append(F.expr(f"{value} AS {column}"))
-    rows = items.select(*keep, *columns)
+    rows = _looked(items, [(key, kind) for key, _, kind in fields]).select(*keep, *columns)
     return from_snake(rows, schemas.ACTIVE, REQUIRED_ACTIVE, as_of, *keep)

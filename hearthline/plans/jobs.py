@@ -108,14 +108,14 @@ def load_records(
     Stats: total counts every record; failed those that lack a required key and those the
     table refuses.
     """
-    from hearthline.operators.mapping import snake_records
+    from hearthline.operators.mapping import lacking_records, snake_records
 
     given = snake_records(items, feed.schema, feed.required, as_of, *order)
     complete = given.filter("size(missing) = 0").drop("missing")
     written = merge.upsert(table, complete, feed, order, as_of)
 
     def count() -> DataFrame:
-        lost = given.filter("size(missing) > 0").selectExpr(
+        lost = lacking_records(items, feed.required).selectExpr(
             "1L AS total", "0L AS inserted", "0L AS updated", "1L AS failed"
         )
         return written.stats.unionByName(lost).agg(

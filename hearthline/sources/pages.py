@@ -67,15 +67,13 @@ def items(pages: DataFrame, base: int) -> DataFrame:
     Pages that are not JSON, have no list or an empty one give no rows.
     """
     others = [c for c in pages.columns if c != "body"]
-    listed = F.coalesce(
-        F.variant_get("_page", "$.results", "variant"), F.variant_get("_page", "$.searchResults", "variant")
+    # An envelope tells its list under one key; the other counts only if the first is absent.
+    second = F.when(
+        F.variant_get("_page", "$.results", "variant").isNull(), F.try_variant_get("_page", "$.searchResults", "array<variant>")
     )
+    listed = F.coalesce(F.try_variant_get("_page", "$.results", "array<variant>"), second)
     numbered = _parsed(pages).select(*others, _page_number(base).alias("page"), listed.alias("_list"))
-    spark = pages.sparkSession
-    exploded = numbered.lateralJoin(spark.tvf.variant_explode(F.col("_list").outer()))
-    # Only elements of a list have no key.
-    listing = exploded.filter(F.col("key").isNull())
-    return listing.select(*others, "page", F.col("pos"), F.col("value").alias("item"))
+    return numbered.select(*others, "page", F.posexplode("_list").alias("pos", "item"))
 
 
 def active_items(pages: DataFrame) -> DataFrame:
