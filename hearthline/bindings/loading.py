@@ -28,10 +28,8 @@ def _value(key: str, kind: str):
 
 def s1(view: Views) -> DataFrame:
     items = pages.active_items(shapes.listing_pages(view))
-    return items.select(
-        "home", *ORDER, "page", "pos", _value("id", "bigint").alias("id"), _value("price", "int").alias("price"),
-        _value("size", "int").alias("size"), _value("street", "string").alias("street"),
-    )
+    fields = [f for f in mapping.ACTIVE_FIELDS if f[0] in ("id", "price", "size", "street")]
+    return mapping.cleaned(items, fields, "home", *ORDER, "page", "pos")
 
 
 S1_SQL = sql(

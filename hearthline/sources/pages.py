@@ -53,7 +53,8 @@ def _meta(field: str, kind: str) -> Column:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_page", F.try_parse_json("body"))
+    """``pages`` with ``_page``, a generated column: a text is parsed once, however often it is looked at."""
+    return pages.select("*", F.explode(F.array(F.try_parse_json("body"))).alias("_page"))
 
 
 def _page_number(base: int) -> Column:
