@@ -38,10 +38,16 @@ def settled(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def written(column: str) -> Column:
+    """A number with a fraction as it stands in JSON text: by its decimal digits."""
+    return F.col(column).cast("decimal(38, 18)")
+
+
 def listing_items(view: Views) -> DataFrame:
     """v_listing as raw records; nulls stay nulls."""
-    body = F.to_json(record(_LISTING), KEEP_NULLS)
-    return view("v_listing").select("page", *HIT, settled(F.try_parse_json(body)).alias("item"))
+    fractions = {column: written(column) for column in ("rooms", "latitude", "longitude")}
+    item = F.to_variant_object(record(_LISTING, **fractions))
+    return view("v_listing").select("page", *HIT, settled(item).alias("item"))
 
 
 def sparse_listing_items(view: Views) -> DataFrame:
@@ -50,10 +56,8 @@ def sparse_listing_items(view: Views) -> DataFrame:
 
 
 def sale_items(view: Views) -> DataFrame:
-    body = F.to_json(record(_SALE), KEEP_NULLS)
-    return view("v_sale").select(
-        "page", "day", F.col("estate_id").alias("sale"), settled(F.try_parse_json(body)).alias("item")
-    )
+    item = F.to_variant_object(record(_SALE))
+    return view("v_sale").select("page", "day", F.col("estate_id").alias("sale"), settled(item).alias("item"))
 
 
 def listing_pages(view: Views) -> DataFrame:
