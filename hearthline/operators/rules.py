@@ -211,12 +211,15 @@ def validation_summary(validated: DataFrame, by: Sequence[str] = ()) -> DataFram
 
 def error_listing(validated: DataFrame) -> DataFrame:
     """The invalid records with their errors."""
-    return validated.filter(F.size("errors") > 0)
+    columns = [F.col(c) for c in validated.columns if c != "errors"]
+    # The errors of invalid records alone, in a generated column: they are put together once.
+    told = validated.filter("NOT is_valid").select(*columns, F.explode(F.array("errors")).alias("errors"))
+    return told.filter(F.size("errors") > 0).select(*validated.columns)
 
 
 def errors_exploded(validated: DataFrame, *keep: str) -> DataFrame:
     """One row per error, with the ``keep`` columns of its record."""
-    return validated.select(*keep, F.explode("errors").alias("_e")).select(*keep, "_e.*")
+    return error_listing(validated).select(*keep, F.explode("errors").alias("_e")).select(*keep, "_e.*")
 
 
 def errors_by_field(validated: DataFrame) -> DataFrame:
