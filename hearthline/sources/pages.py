@@ -69,12 +69,14 @@ def items(pages: DataFrame, base: int) -> DataFrame:
     """
     others = [c for c in pages.columns if c != "body"]
     # An envelope tells its list under one key; the other counts only if the first is absent.
-    second = F.when(
-        F.variant_get("_page", "$.results", "variant").isNull(), F.try_variant_get("_page", "$.searchResults", "array<variant>")
+    listed = F.coalesce(
+        F.variant_get("_page", "$.results", "variant"), F.variant_get("_page", "$.searchResults", "variant")
     )
-    listed = F.coalesce(F.try_variant_get("_page", "$.results", "array<variant>"), second)
     numbered = _parsed(pages).select(*others, _page_number(base).alias("page"), listed.alias("_list"))
-    return numbered.select(*others, "page", F.posexplode("_list").alias("pos", "item"))
+    # Elements are slices of the list; as an array<variant> each would be written anew.
+    exploded = numbered.lateralJoin(pages.sparkSession.tvf.variant_explode(F.col("_list").outer()))
+    listing = exploded.filter(F.col("key").isNull())  # only elements of a list have no key
+    return listing.select(*others, "page", F.col("pos"), F.col("value").alias("item"))
 
 
 def active_items(pages: DataFrame) -> DataFrame:
