@@ -327,7 +327,9 @@ _SNAKE = "concat('{\"rooms\":', rooms, " + ", ".join(
 
 
 def _snake_items(view: Views) -> DataFrame:
-    return view("v_active").selectExpr("scraped_at AS hit_time", "o1", "o2", "o3", f"parse_json({_SNAKE}) AS item")
+    """Records are dealt out before they are made: a table of one row group comes from a single task."""
+    dealt = view("v_active").repartition("scraped_at", "o1", "o2", "o3", "id")
+    return dealt.selectExpr("scraped_at AS hit_time", "o1", "o2", "o3", f"parse_json({_SNAKE}) AS item")
 
 
 _HIT = ("hit_time", "o1", "o2", "o3")

@@ -104,3 +104,21 @@ def test_rows_to_append_are_made_once_to_decide(spark):
     told = append.bulk_append(table, rows.mapInPandas(through, rows.schema), ACTIVE).stats.first()
     assert (told["total"], told["inserted"], told["failed"]) == (40, 28, 12)
     assert made.value == 40
+
+
+def test_snake_records_are_made_by_several_tasks(spark):
+    """Rows of a table of one row group come from one task; the records are not made there."""
+    from hearthline.bindings import loading
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = spark.range(0, 400, 1, 1).selectExpr(
+        "id", "CAST(id AS INT) AS price", "2.0D AS rooms", "CAST(60 AS INT) AS size", "'C' AS city", "8000 AS zip_code",
+        "'S' AS street", "timestamp_ntz'1997-01-01 00:00:00' AS scraped_at", "1 AS o1", "id + 6 AS o2", "id AS o3",
+    )
+    spark.conf.set(key, "false")  # so few rows would be put together again
+    try:
+        made = loading.p3_records(lambda name: rows).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset(key)
+    assert len({r.task for r in made}) > 1
+    assert sorted(r.id for r in made) == [k for k in range(400) if (k + 6) % 40 >= 6]
