@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 import struct
+import time
 import unicodedata
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -739,3 +741,57 @@ def test_lines_of_a_common_key_all_meet(spark, part):
         buckets.setdefault(r["bucket"], set()).add(r["name"])
     met = {(a, b) for names in buckets.values() for a in names for b in names}
     assert all((a, b) in met for a in lengths for b in lengths if abs(lengths[a] - lengths[b]) <= step)
+
+
+def test_like_lines_of_many_keys_are_found_together():
+    """The parts are the connected sets of like lines of each key, and finding them takes no step a key."""
+    made = np.random.default_rng(3)
+    size = made.integers(1, 7, 30_000)
+    bucket = np.repeat(np.arange(len(size)), size)
+    name = made.integers(-50, 50, len(bucket)) * 10**15 + bucket
+    grams = made.integers(0, 2**20, len(bucket)).astype(np.uint64) << np.uint64(12 + 18)  # about 10 bits apart
+    grams |= np.where(made.random(len(bucket)) < 0.5, np.uint64(0x3FFF << 12), np.uint64(0))
+    pack = (grams | made.integers(1200, 1300, len(bucket)).astype(np.uint64)).view(np.int64)
+    keys = pd.DataFrame({"bucket": bucket, "name": name, "pack": pack}).sort_values(["bucket", "name"])
+    pack_of = dict(zip(name.tolist(), pack.tolist()))
+    keys["pack"] = keys["name"].map(pack_of)
+    frames = [keys.iloc[k : k + 1000] for k in range(0, len(keys), 1000)]
+    began = time.process_time()
+    got = pd.concat(list(line_dedup._plausible(iter(frames))))
+    assert time.process_time() - began < 1
+    parts = {frozenset(p["name"].tolist()) for _, p in got.groupby("part")}
+    assert all(set(p["least"]) == {p["name"].min()} for _, p in got.groupby("part"))
+    want = set()
+    for _, rows in keys.iloc[:6000].groupby("bucket"):
+        left = {n: p & ((1 << 64) - 1) for n, p in zip(rows["name"].tolist(), rows["pack"].tolist())}
+        while left:
+            found, edge = set(), [next(iter(left))]
+            while edge:
+                n = edge.pop()
+                if n in found:
+                    continue
+                found.add(n)
+                for m in left:
+                    bits = ((left[n] ^ left[m]) >> 12).bit_count()
+                    if bits <= line_dedup.NEAR and abs((left[n] & 4095) - (left[m] & 4095)) <= line_dedup._LENGTH_STEPS:
+                        edge.append(m)
+            left = {n: p for n, p in left.items() if n not in found}
+            if len(found) > 1:
+                want.add(frozenset(found))
+    last = keys["bucket"].iloc[5999]
+    assert {p for p in parts if min(n % 10**15 for n in p) < last} == {p for p in want if min(n % 10**15 for n in p) < last}
+    assert len(want) > 300
+
+
+def test_long_pairs_side_by_side_equal_single_ones():
+    chosen, made = random.Random(8), []
+    for k in range(240):
+        base = [chosen.choice("abcdefgh éß中") for _ in range(chosen.choice((315, 319, 320, 325, 640, 700, 1300)))]
+        at = chosen.randrange(len(base))
+        cut = base[:at] + base[at + int(len(base) * chosen.choice((0, 0.1, 0.19))) :]
+        rate = chosen.choice((0.01, 0.1, 0.19, 0.21, 0.6))
+        made += ["".join(base), "".join(chosen.choice("xyz") if chosen.random() < rate else c for c in cut)]
+    left = np.arange(0, len(made), 2)
+    want = [line_dedup.alike(made[k], made[k + 1]) for k in left]
+    assert line_dedup.alike_pairs(made, left, left + 1).tolist() == want and 40 < sum(want) < 200
+    assert line_dedup.alike_pairs(made, left + 1, left).tolist() == want
