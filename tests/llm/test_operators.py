@@ -795,3 +795,23 @@ def test_long_pairs_side_by_side_equal_single_ones():
     want = [line_dedup.alike(made[k], made[k + 1]) for k in left]
     assert line_dedup.alike_pairs(made, left, left + 1).tolist() == want and 40 < sum(want) < 200
     assert line_dedup.alike_pairs(made, left + 1, left).tolist() == want
+
+
+def test_lines_compared_in_shares_give_the_same(spark, monkeypatch):
+    """However many shares the parts are compared in, the same lines go."""
+    chosen, rows = random.Random(9), []
+    for k in range(40):
+        base = " ".join("".join(chosen.choice("abcdefgh") for _ in range(6)) for _ in range(20))
+        for n in range(3):
+            at = chosen.randrange(len(base))
+            rows.append((3 * k + n, base[:at] + "zz" + base[at + 2 :]))
+    asked, stored = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df: asked.append(df.columns) or stored(df))
+
+    def cut():
+        return {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame(spark, rows), wide=True).collect()}
+
+    whole, once = cut(), asked.count(["a", "b"])
+    monkeypatch.setattr(line_dedup, "SHARE_ROWS", 0)
+    assert cut() == whole and sum(not text for text in whole.values()) == 80
+    assert (once, asked.count(["a", "b"])) == (1, 1 + line_dedup.SHARES)
