@@ -6,8 +6,10 @@ import random
 import re
 import struct
 import time
+import tracemalloc
 import unicodedata
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,7 @@ from hearthline.llm import (
     vocabulary,
 )
 from hearthline.llm.common import components
+from hearthline.sources.scratch import ensure_checkpoint_dir
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau phi".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, H long, fp string"
@@ -815,3 +818,43 @@ def test_lines_compared_in_shares_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHARE_ROWS", 0)
     assert cut() == whole and sum(not text for text in whole.values()) == 80
     assert (once, asked.count(["a", "b"])) == (1, 1 + line_dedup.SHARES)
+
+
+def test_signing_takes_memory_for_a_piece_and_not_for_a_batch():
+    """However many bytes a batch of texts has, only those of a piece are hashed at a time."""
+    chosen = random.Random(4)
+    texts = ["\n".join(f"{chosen.getrandbits(800):x}" for _ in range(200)) for _ in range(200)]  # 8 MB
+    frame = pd.DataFrame({"doc_id": [str(k) for k in range(200)], "h": 0, "text": texts})
+    rows, most = 0, 0
+    tracemalloc.start()
+    for made in line_dedup._occurrences(iter([frame])):
+        rows += len(made)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert rows == 200 * 200 and most < 60_000_000
+
+
+def test_every_key_is_in_one_share(spark):
+    frames = [pd.DataFrame({"doc_id": ["a"], "h": [0], "text": [f"{prose(5, 30)}\n{prose(6, 2)}\n{prose(7, 9)[:45]}"]})]
+    rows = pd.concat(list(line_dedup._occurrences(iter(frames))))
+    made = [(int(r.name_), *(None if x is None else x.tolist() for x in (r.tokens, r.bands))) for r in rows.rename(columns={"name": "name_"}).itertuples()]
+    lines = spark.createDataFrame(made, "name long, tokens array<int>, bands array<int>")
+
+    def keys(share, shares):
+        return {r["name"]: set(r["keys"]) for r in lines.select("name", line_dedup._keys(share, shares).alias("keys")).collect()}
+
+    whole, dealt = keys(0, 1), [keys(k, 4) for k in range(4)]
+    assert sorted(map(len, whole.values())) == [line_dedup.TOKENS, line_dedup.BANDS, line_dedup.TOKENS + line_dedup.BANDS]
+    for name, those in whole.items():
+        assert set().union(*(d[name] for d in dealt)) == those and sum(len(d[name]) for d in dealt) == len(those)
+
+
+def test_line_dedup_leaves_little_on_disk(spark):
+    """What the search stored on the way is deleted when the lines that go are known; equal rows are one occurrence."""
+    rows = [(k, f"{prose(k % 40, 30)} x{k}\n{prose(900 + k, 20)}") for k in range(200)]
+    ensure_checkpoint_dir(spark)
+    top = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(top.iterdir())
+    drops = line_dedup.repeated_lines(frame(spark, rows + rows[:50]), wide=True).collect()
+    left = {c for d in set(top.iterdir()) - before for c in spark.read.parquet(str(d)).columns}
+    assert len(drops) == 160 and left <= {"doc_id", "h", "drops", "key", "bucket", "a", "b", "u", "v"}
