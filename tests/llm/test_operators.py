@@ -858,3 +858,16 @@ def test_line_dedup_leaves_little_on_disk(spark):
     drops = line_dedup.repeated_lines(frame(spark, rows + rows[:50]), wide=True).collect()
     left = {c for d in set(top.iterdir()) - before for c in spark.read.parquet(str(d)).columns}
     assert len(drops) == 160 and left <= {"doc_id", "h", "drops", "key", "bucket", "a", "b", "u", "v"}
+
+
+def test_pairs_of_like_lines_take_little_memory():
+    """A group of near copies has its pairs under each of its keys; they are not all held at once."""
+    made = np.random.default_rng(5)
+    size = np.full(8, 1200)
+    keys = pd.DataFrame({"bucket": np.repeat(np.arange(8), size), "name": np.tile(np.arange(1200), 8)})
+    keys["pack"] = 1250 + made.integers(0, 3, 1200)[keys["name"]]
+    tracemalloc.start()
+    got = pd.concat(list(line_dedup._plausible(iter([keys]))))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 9600 and got["part"].nunique() == 1 and most < 90_000_000
