@@ -871,3 +871,45 @@ def test_pairs_of_like_lines_take_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(got) == 9600 and got["part"].nunique() == 1 and most < 90_000_000
+
+
+def test_many_pairs_of_any_width_equal_their_distances(monkeypatch):
+    """Enough pairs of every width to go side by side, some over a large alphabet, with blocks moved."""
+    monkeypatch.setattr(line_dedup, "FEWEST", 4)
+    chosen, made = random.Random(9), []
+    letters = ("ab", "abcdefghijklm éß", "".join(chr(0x4E00 + k) for k in range(700)))
+    for k in range(200):
+        drawn, size = chosen.choice(letters), chosen.choice((20, 300, 319, 320, 640, 960, 1290, 1900))
+        base, rate = [chosen.choice(drawn) for _ in range(size)], chosen.choice((0.02, 0.15, 0.19, 0.21, 0.5))
+        other = [x for c in base for x in (chosen.choice(([], [c, c], [chosen.choice(drawn)])) if chosen.random() < rate else [c])]
+        at = chosen.randrange(size) if chosen.random() < 0.3 else 0
+        made += ["".join(base), "".join(other[at : at + size // 12] + other)]
+    left = np.arange(0, len(made), 2)
+    most = [int(0.2 * max(len(made[k]), len(made[k + 1])) + 1e-9) for k in left]
+    want = [line_dedup.distance(made[k], made[k + 1]) <= m for k, m in zip(left, most)]
+    assert line_dedup.alike_pairs(made, left, left + 1).tolist() == want and 50 < sum(want) < 150
+    assert line_dedup.alike_pairs(made, left + 1, left).tolist() == want
+    assert [line_dedup.alike(made[k], made[k + 1]) for k in left] == want
+
+
+def test_pairs_with_other_letters_are_not_worked_out(monkeypatch):
+    """What the letters of two texts rule out takes no edit distance; one that fails early ends there."""
+    chosen, worked = random.Random(10), []
+    band, one = line_dedup._alike_band, line_dedup.alike
+    monkeypatch.setattr(line_dedup, "_alike_band", lambda coded, a, *more: worked.extend(a) or band(coded, a, *more))
+    monkeypatch.setattr(line_dedup, "alike", lambda a, b: worked.append(a) or one(a, b))
+    made = ["".join(chosen.choice(drawn) for _ in range(400)) for _ in range(200) for drawn in ("abcdef", "defghi")]
+    left = np.arange(0, len(made), 2)
+    assert not line_dedup.alike_pairs(made, left, left + 1).any() and not worked
+
+    class Read(str):
+        seen = 0
+
+        def __iter__(self):
+            for c in str(self):
+                self.seen += 1
+                yield c
+
+    a, b = ("".join(chosen.choice("abcdefgh") for _ in range(3000)) for _ in range(2))
+    text = Read(b)
+    assert not one(a, text) and 0 < text.seen < 2000
