@@ -36,7 +36,6 @@ HOT_ROWS = 250_000
 PARTS = 4096
 #: Rows (or splitters) up to which a helper table is broadcast.
 SMALL = 200_000
-_CHUNK = 64
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
@@ -64,31 +63,37 @@ def _hot(sizes: DataFrame, total: Column, hot_rows: int, parts: int) -> DataFram
 
 
 def _splitters(drawn: DataFrame, groups: Sequence[str], order: Sequence[str], step: int) -> DataFrame:
-    """Per group the marks of about one in ``step`` of its rows, ascending, and every so many of them."""
+    """Per group the marks of about one in ``step`` of its rows, ascending."""
     marks = [f"_o{i}" for i in range(len(order))]
     keyed = drawn.select(*groups, *[F.col(c).alias(m) for c, m in zip(order, marks)])
     return (
         keyed.filter(F.pmod(F.xxhash64(*marks), F.lit(step)) == 0)
         .groupBy(*groups)
         .agg(F.array_sort(F.collect_set(F.struct(*marks))).alias("_cuts"))
-        .withColumn(
-            "_heads",
-            F.transform(
-                F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / _CHUNK).cast("int")),
-                lambda i: F.col("_cuts")[i * _CHUNK],
-            ),
-        )
     )
 
 
-def _block(order: Sequence[str]) -> Column:
-    """Number of splitters at or before the row, found in two short scans."""
+def _blocked(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str], one: bool, small: bool) -> DataFrame:
+    """``df`` with ``_block``: the number of its group's splitters at or before a row, found by halving.
+
+    The splitters of a single group are a value beside the rows, those of several are joined to them; no row
+    copies them or looks at more of them than their logarithm.
+    """
     here = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    chunk = F.size(F.filter("_heads", lambda h: h <= here))
-    inside = F.size(F.filter(F.slice("_cuts", (chunk - 1) * _CHUNK + 1, F.lit(_CHUNK)), lambda c: c <= here))
-    return (
-        F.when(F.col("_cuts").isNull() | (chunk == 0), 0).otherwise((chunk - 1) * _CHUNK + inside).cast("int")
-    )
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    steps = [1 << bit for bit in reversed(range(most.bit_length()))]
+    if one and steps:
+        block = F.aggregate(
+            F.array(*map(F.lit, steps)),
+            F.lit(0),
+            lambda block, step: block + F.when(F.get("_cuts", block + step - 1) <= here, step).otherwise(0),
+        )
+        return df.withColumn("_cuts", cuts.select("_cuts").scalar()).withColumn("_block", block).drop("_cuts")
+    df = _beside(df, cuts, keys, "left", small).withColumn("_block", F.lit(0))
+    for step in steps:
+        further = F.get("_cuts", F.col("_block") + (step - 1)) <= here
+        df = df.withColumn("_block", F.col("_block") + F.when(further, step).otherwise(0))
+    return df.drop("_cuts")
 
 
 def _walked(
@@ -112,15 +117,17 @@ def _placed(
     most, total = hot.agg(F.max("_n"), F.sum("_n")).first()
     levels = max(1, math.ceil(math.log(most / hot_rows) / math.log(parts)))
     marks: list[str] = []
-    placed = _beside(df, hot.select(*groups, F.lit(True).alias(f"{tag}_hot")), groups, "left", hot.count() <= SMALL)
+    groups_cut = hot.count()
+    placed = _beside(df, hot.select(*groups, F.lit(True).alias(f"{tag}_hot")), groups, "left", groups_cut <= SMALL)
     for level in range(levels):
         step = hot_rows * parts ** (levels - 1 - level)
         cuts = kept(_splitters(placed.filter(f"{tag}_hot"), [*groups, *marks], order, step))
         mark = f"{tag}_block{level}"
+        one = groups_cut == 1 and not marks
         placed = (
-            _beside(placed, cuts, [*groups, *marks], "left", total / step <= SMALL)
-            .withColumn(mark, F.when(F.col(f"{tag}_hot"), _block(order)))
-            .drop("_cuts", "_heads")
+            _blocked(placed, cuts, [*groups, *marks], order, one, total / step <= SMALL)
+            .withColumn(mark, F.when(F.col(f"{tag}_hot"), F.col("_block")))
+            .drop("_block")
         )
         marks.append(mark)
     return placed, marks, total / hot_rows <= SMALL

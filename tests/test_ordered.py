@@ -75,3 +75,15 @@ def test_group_facts_beside_rows(spark, tuning):
     sizes = {r.k: (r.top, r.n) for r in df.groupBy("k").agg(F.max("at").alias("top"), F.count("*").alias("n")).collect()}
     want = {r.seq: (None, None) if r.k is None else sizes[r.k] for r in df.collect()}
     assert got == want
+
+
+def test_many_blocks_of_one_group_are_looked_up_without_a_join(spark):
+    """Rows of a whole table find one of many blocks by halving; no row carries the splitters along."""
+    rows = [(None if k % 501 == 0 else k * 7919 % 613, k, f"x{k % 7}") for k in range(12_000)]
+    table = spark.createDataFrame(rows, "day int, id long, other string").repartition(3)
+    out = ordered(table, [], ["day", "id"], number="n", hot_rows=40)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [tuple(r)[:3] for r in out.orderBy("n").collect()] == want
+    assert sorted(r["n"] for r in out.select("n").collect()) == list(range(1, 12_001))
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joins) == 2  # with the groups that are cut, and with the totals before each block
