@@ -3,6 +3,7 @@ import random
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,3 +270,54 @@ def test_errors_counted_from_verdicts(spark):
     want = rules.errors_by_field(rules.validate(items, known)).collect()
     assert sorted(map(tuple, rules.count_errors(items, known).collect())) == sorted(map(tuple, want)) and len(want) == 6
     assert rules.count_errors(items.limit(0), known).collect() == []
+
+
+def test_events_fold_without_frames(monkeypatch):
+    """Events of a session are folded as lists: ties go to the later row, nulls count nothing."""
+    def none(*args, **kwargs):
+        raise AssertionError("a frame was made")
+
+    at = pd.Timestamp("2024-05-01 10:00:00.000001")
+    events = [
+        ("sold", "delta", at, 2, None, 4, 2, None, "a", None, None), ("sold", "start", at, -1, 9, None, None, None, None, None, None),
+        (None, "delta", at, 2, None, None, 3, 1, "b", None, None), ("sold", "end", at, 2**62, None, None, 0, 0, None, "failed", "x"),
+        ("sold", "delta", at - pd.Timedelta(hours=1), 7, 8, 5, 1, 1, "c", None, None),
+    ]
+    names = ["scrape_type", "kind", "at", "seq", "total_pages", "current_page", "records_processed", "records_failed", "checkpoint_data", "status", "error_message"]
+    frame = pd.DataFrame(events, columns=names).assign(records_inserted=0, records_updated=1, api_calls_made=None)
+    state = dict.fromkeys(refresh._STATE_NAMES)
+    for name in ("assign", "sort_values", "__getitem__"):
+        kept = getattr(pd.DataFrame, name)
+        monkeypatch.setattr(pd.DataFrame, name, (lambda f, k, kept=kept: kept(f, k) if isinstance(k, str) else none()) if name == "__getitem__" else none)
+    refresh._folded(state, frame)
+    refresh._folded(state, frame.iloc[4:])
+    micros = at.value // 1000
+    assert state == {
+        "scrape_type": "sold", "begun": micros, "first": micros - 3600 * 10**6, "records_processed": 7, "records_inserted": 0,
+        "records_updated": 6, "records_failed": 3, "api_calls_made": 0, "delta_at": micros, "delta_seq": 2, "page": None,
+        "checkpoint": "b", "pages_at": micros, "pages_seq": -1, "pages": 9, "end_at": micros, "end_seq": 2**62,
+        "status": "failed", "error": "x", "updated": micros,
+    }
+
+
+def test_update_mode_takes_files_in_the_order_of_time(spark, tmp_path, monkeypatch):
+    """Every event counts, though the files of the last third are written first by chance."""
+    from hearthline.bindings import ledger as bindings
+    from hearthline.bindings.views import opened
+
+    chance = random.Random(4)
+    begun = datetime(2024, 1, 1)
+    rows = [
+        (k, begun + timedelta(minutes=chance.randrange(80_000)), chance.randrange(9), chance.choice(["view", "purchase", "error", None]),
+         chance.random() * 200, f'{{"k": {k}}}')
+        for k in range(600)
+    ]
+    made = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    view = opened(spark, str(tmp_path))
+    read, landed = [], refresh.live_ledger
+    monkeypatch.setattr(refresh, "live_ledger", lambda stream, late: landed(read.append(1) or stream, late))
+    got = bindings.r3_update(view)
+    want = bindings.a8(view)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert len(read) == 3  # a third lands once the one before is taken
